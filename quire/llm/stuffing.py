@@ -5,7 +5,7 @@ of adjacent content words that return after at most ``MAX_LAG`` words are *regul
 rare, in stuffed text they are the rule (positional autocorrelation over lag windows, by shifted copies of the word
 array). A segment counts as stuffing if its pairs are mostly regular, if it is a list of names without function words,
 or if it is nothing but a link, tags, spelled-out letters or a fragment without a sentence's end. A page is flagged if
-more than half of its characters lie in such segments.
+more than ``STUFFED_SHARE`` of its characters lie in such segments.
 
 Everything is computed within a row by array functions, so no text is ever shuffled. Identical lines are counted once
 when recurrence is measured: a refrain is verse, not stuffing.
@@ -16,6 +16,8 @@ several links or tags; every copy of a page is judged alike; extra columns are i
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,10 @@ from quire.functions.bind import let
 from quire.session import check_columns
 
 MAX_LAG = 12
+MAX_WORD_LAG = 8
 MIN_WORDS = 8
-STUFFED_SHARE = 0.5
+#: Measured shares lie below 0.3 for genuine and above 0.45 for stuffed pages; titles inside stuffing pass as prose.
+STUFFED_SHARE = 0.4
 #: Function words of the corpus' languages (fixed values).
 FUNCTION_WORDS = (
     "a about after all although always an and any are as at be because been before but by can could did do does for from "
@@ -42,14 +46,31 @@ FUNCTION_WORDS = (
 _LINK = (
     r"(?i)<a\s[^>]*>.*?</a>|\[[^\]\n]*\]\([^)\n]*\)|(?:https?:)?//[^\s<>)\"]+|\bwww\.[^\s<>)]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+/[^\s<>)]*"
 )
-_FUNCTION = r"(?iU)(?<![\p{L}\p{M}\p{N}])(?:" + "|".join(sorted(set(FUNCTION_WORDS.split()))) + r")(?![\p{L}\p{M}\p{N}])"
-_WORD = r"[\p{L}\p{M}\p{N}]+|¤"
+_WORD = r"[\p{L}\p{M}\p{N}]+"
+_BUCKETS = 128
+_LEADER = r"(?:\.\s?){3,}\s*\d+\s*$"
+_PRICE = r"[$€£]\s?\d|\d\s?(?:[$€£]|EUR|USD|GBP)\b"
 _SPACE_LIKE = r"[\x{200b}-\x{200d}\x{2060}\x{feff}\x{ad}]"
 
 
 def _tokens(text: Column) -> Column:
-    """Lower-case words; each function word is ¤."""
-    return F.regexp_extract_all(F.regexp_replace(F.lower(text), _FUNCTION, "¤"), F.lit(_WORD), F.lit(0))
+    """Lower-case words; each function word is ¤. Function words are looked up in one of ``_BUCKETS`` short strings."""
+    table = F.array(*[F.lit(" " + " ".join(bucket) + " ") for bucket in _function_buckets()])
+    words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+    found = lambda w: F.element_at(table, (F.crc32(w) % _BUCKETS + 1).cast("int")).contains(F.concat(F.lit(" "), w, F.lit(" ")))
+    return F.transform(words, lambda w: F.when(found(w), F.lit("¤")).otherwise(w))
+
+
+def _function_buckets() -> list[list[str]]:
+    buckets: list[list[str]] = [[] for _ in range(_BUCKETS)]
+    for word in sorted(set(FUNCTION_WORDS.split())):
+        buckets[zlib.crc32(word.encode()) % _BUCKETS].append(word)
+    return buckets
+
+
+def _has_link(text: Column) -> Column:
+    """Whether a text can hold a link at all: a cheap guard before the pattern."""
+    return text.contains("/") | text.contains("](") | text.contains("www.")
 
 
 def _pairs(words: Column) -> Column:
@@ -59,19 +80,30 @@ def _pairs(words: Column) -> Column:
     return F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), pair)
 
 
-def regular_pairs(words: Column) -> Column:
-    """Content pairs that recur after at most ``MAX_LAG`` words: one shifted comparison per lag."""
-    def at_all_lags(pairs: Column) -> Column:
-        n = F.size(pairs)
+def _regular(items: Column, lags: int) -> Column:
+    """Items most of whose recurrences come after at most ``lags`` positions: one shifted comparison per lag."""
+
+    def recurrences(x: Column) -> Column:
+        n = F.size(x)
 
         def at_lag(k: Column) -> Column:
             m = F.greatest(n - k, F.lit(0))
-            same = F.zip_with(F.slice(pairs, F.lit(1), m), F.slice(pairs, k + 1, m), lambda x, y: F.when(x == y, x))
-            return F.array_distinct(F.filter(same, lambda x: x.isNotNull()))
+            same = F.zip_with(F.slice(x, F.lit(1), m), F.slice(x, k + 1, m), lambda a, b: F.when(a == b, a))
+            return F.filter(same, lambda a: a.isNotNull())
+
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(lags)), at_lag))
 
-        return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(MAX_LAG)), at_lag)))
+    def mostly(hits: Column, x: Column) -> Column:
+        times = lambda where, item: F.size(F.filter(where, lambda a: a == item))
+        return F.filter(F.array_distinct(hits), lambda item: 2 * times(hits, item) >= times(x, item))
 
-    return let(_pairs(words), at_all_lags)
+    return let(items, lambda x: let(recurrences(x), lambda hits: mostly(hits, x)))
+
+
+def regular_terms(words: Column) -> Column:
+    """struct(pairs, words): regularly recurring content pairs (gaps up to ``MAX_LAG``) and content words (``MAX_WORD_LAG``)."""
+    content = F.transform(words, lambda w: F.when((w != "¤") & (F.length(w) > 1), w))
+    return F.struct(_regular(_pairs(words), MAX_LAG).alias("pairs"), _regular(content, MAX_WORD_LAG).alias("words"))
 
 
 def _lines(text: Column) -> Column:
@@ -82,63 +114,67 @@ def _lines(text: Column) -> Column:
 
 def _segments(lines: Column) -> Column:
     """Lines with a link as they are, other lines cut after each sentence."""
-    cut = lambda s: F.when(s.rlike(_LINK), F.array(s)).otherwise(F.split(s, r"(?<=[\p{L}\p{N}\)\"”»’][.!?…。]{1,3}[\"”»’)]{0,2})\s+"))
+    cut = lambda s: F.when(_has_link(s) & s.rlike(_LINK), F.array(s)).otherwise(F.split(s, r"(?<=[.!?…。]|[.!?…。][\"”»’)])\s+"))
     return F.filter(F.flatten(F.transform(lines, cut)), lambda s: s.rlike(r"(?U)\S"))
 
 
+def _prepare(segment: Column) -> Column:
+    """struct(text, rest without links, links, words of the rest)."""
+    maybe = _has_link(segment)
+    rest = F.when(maybe, F.regexp_replace(segment, _LINK, " ")).otherwise(segment)
+    links = F.when(maybe, F.regexp_count(segment, F.lit(_LINK))).otherwise(0)
+    return let(rest, lambda r: F.struct(segment.alias("text"), r.alias("rest"), links.alias("links"), _tokens(r).alias("words")))
+
+
 def _judge(segment: Column, regular: Column) -> Column:
-    """True if a segment is stuffing."""
-
-    def measure(rest: Column, words: Column) -> Column:
-        n = F.size(words).cast("double")
-        share = lambda condition: F.size(F.filter(words, condition)) / F.greatest(n, F.lit(1.0))
-        recurring = F.when(F.size(regular) > 0, F.size(F.filter(_pairs(words), lambda p: F.array_contains(regular, p)))).otherwise(0)
-        return F.struct(
-            n.alias("n"),
-            segment.rlike(_LINK).alias("linked"),
-            share(lambda w: w == "¤").alias("function"),
-            share(lambda w: (F.length(w) == 1) & (w != "¤")).alias("letters"),
-            (recurring / F.greatest(n - 1, F.lit(1.0))).alias("repeated"),
-            F.regexp_count(segment, F.lit(r"(?<!\S)#[\p{L}\p{N}]")).alias("tags"),
-            F.regexp_count(segment, F.lit(r"[,;|•·/+>›»–—]|\s-\s")).alias("separators"),
-            (F.size(words) >= 4).alias("long_enough"),
-            rest.rlike(r"(?U)\p{L}{2,}[^\n]*[.!?…。,;:][\s\"”»’)\]*_]*$").alias("ended"),
-        )
+    """True if a prepared segment is stuffing."""
+    text, rest, words = segment["text"], segment["rest"], segment["words"]
+    n = F.size(words).cast("double")
+    share = lambda condition: F.size(F.filter(words, condition)) / F.greatest(n, F.lit(1.0))
+    inside = lambda items, known: F.when(F.size(known) > 0, F.size(F.filter(items, lambda x: F.array_contains(known, x)))).otherwise(0)
+    measures = F.struct(
+        n.alias("n"),
+        (segment["links"] > 0).alias("linked"),
+        share(lambda w: w == "¤").alias("function"),
+        share(lambda w: (F.length(w) == 1) & (w != "¤")).alias("letters"),
+        (inside(_pairs(words), regular["pairs"]) / F.greatest(n - 1, F.lit(1.0))).alias("repeated"),
+        inside(words, regular["words"]).alias("recurring"),
+        F.when(text.contains("#"), F.regexp_count(text, F.lit(r"(?<!\S)#[\p{L}\p{N}]"))).otherwise(0).alias("tags"),
+        F.regexp_count(text, F.lit(r"[,;|•·/+>›»–—]|\s-\s")).alias("separators"),
+        (rest.rlike(r"[.!?…。,;:][\s\"”»’)\]*_]*$") & rest.rlike(r"\p{L}{2}")).alias("ended"),
+    )
 
     def decide(m: Column) -> Column:
-        sentence = m["ended"] & m["long_enough"]
+        sentence = m["ended"] & (m["n"] >= 4)
         prose = (m["n"] >= 15) & (m["function"] >= 0.22)
-        price = segment.rlike(r"[$€£]\s?\d|\d\s?(?:[$€£]|EUR|USD|GBP)\b")
         return (
-            F.when(segment.rlike(r"(?:\.\s?){3,}\s*\d+\s*$"), False)
-            .when(m["linked"] & ~(sentence & (m["n"] >= 8) & (m["function"] >= 0.15)), True)
+            F.when(m["linked"] & ~(sentence & (m["n"] >= 8) & (m["function"] >= 0.15)), True)
             .when((m["tags"] >= 3) & (m["tags"] >= 0.4 * m["n"]), True)
             .when((m["letters"] > 0.5) & (m["n"] >= 8), True)
             .when((m["repeated"] >= 0.25) & (m["n"] >= 4), True)
-            .when((m["function"] < 0.12) & (m["n"] >= 6) & (m["separators"] >= 0.2 * m["n"]), True)
-            .when(price & (m["n"] < 15) & (m["function"] < 0.4), True)
-            .otherwise(~sentence & ~prose)
+            .when((m["recurring"] >= 3) & (m["recurring"] >= 0.6 * m["n"] * (1 - m["function"])), True)
+            .when((m["function"] < 0.12) & (m["n"] >= 10) & (m["separators"] >= 0.2 * m["n"]), True)
+            .when((m["n"] < 15) & (m["function"] < 0.4) & text.rlike(_PRICE), True)
+            .when(sentence | prose, False)
+            .otherwise(~text.rlike(_LEADER))
         )
 
-    return let(F.regexp_replace(segment, _LINK, " "), lambda rest: let(let(_tokens(rest), lambda words: measure(rest, words)), decide))
+    return let(measures, decide)
 
 
 def stuffing_shares(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_links, share: the share of each text's characters that lies in stuffed segments."""
 
-    def page_words(lines: Column) -> Column:
-        bare = F.array_distinct(F.transform(lines, lambda s: F.regexp_replace(s, r"[^\p{L}\p{M}\p{N}]{1,8}$", "")))
-        return _tokens(F.regexp_replace(F.array_join(bare, "\n"), _LINK, " "))
-
     def segment(s: Column, regular: Column) -> Column:
-        return F.struct(F.length(s).alias("chars"), _judge(s, regular).alias("stuffed"), F.regexp_count(s, F.lit(_LINK)).alias("links"))
+        return F.struct(F.length(s["text"]).alias("chars"), _judge(s, regular).alias("stuffed"), s["links"].alias("links"))
 
-    def page(lines: Column) -> Column:
+    def page(segments: Column) -> Column:
+        words = F.flatten(F.array_distinct(F.transform(segments, lambda s: s["words"])))
         return let(
-            page_words(lines),
-            lambda words: let(
-                regular_pairs(words),
-                lambda regular: F.struct(F.size(words).alias("n_words"), F.transform(_segments(lines), lambda s: segment(s, regular)).alias("segments")),
+            words,
+            lambda w: let(
+                regular_terms(w),
+                lambda regular: F.struct(F.size(w).alias("n_words"), F.transform(segments, lambda s: segment(s, regular)).alias("segments")),
             ),
         )
 
@@ -158,7 +194,7 @@ def stuffing_shares(documents: DataFrame) -> DataFrame:
 
     cleaned = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), _SPACE_LIKE, " ")
     texts = check_columns(documents, ["doc_id", "text"])
-    return texts.select("doc_id", let(let(_lines(cleaned), page), sums).alias("page")).select("doc_id", "page.*")
+    return texts.select("doc_id", let(let(F.transform(_segments(_lines(cleaned)), _prepare), page), sums).alias("page")).select("doc_id", "page.*")
 
 
 def stuffed_pages(documents: DataFrame) -> DataFrame:
