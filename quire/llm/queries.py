@@ -7,10 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import encode, stuffing
+from quire.llm import canonical, encode, stuffing, survivor
 from quire.session import table
 
 
+def _typed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gutendex = canonical.entries_of(table(spark, sf_dir, "gutendex_page1"), "gutendex", "id", "subjects")
+    openlibrary = canonical.entries_of(table(spark, sf_dir, "openlibrary_search"), "openlibrary", "ol_key", "subject")
+    googlebooks = canonical.entries_of(table(spark, sf_dir, "googlebooks_volumes"), "googlebooks", "id", "volumeinfo.categories")
+    return gutendex.unionByName(openlibrary).unionByName(googlebooks)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.canonical_terms(_typed_entries(spark, sf_dir), table(spark, sf_dir, "subject_terms"))
+
+
+def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.unmatched(_typed_entries(spark, sf_dir), table(spark, sf_dir, "subject_terms"))
+
+
+def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = table(spark, sf_dir, "book_sources")
+    return survivor.of_several(survivor.accounts(stored, table(spark, sf_dir, "raw_book")), stored)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors under the declared order of trust, whose weights no estimate replaces."""
+    return survivor.survivors(_accounts(spark, sf_dir), survivor.TRUST)
+
+
+def p6_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors by support, with reliabilities estimated from the claims."""
+    return survivor.survivors(_accounts(spark, sf_dir))
+
+
+def p6_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = survivor.discover(survivor.claims(_accounts(spark, sf_dir)))
+    return spark.createDataFrame([(s, float(r)) for s, r in found.items()], "source string, reliability double")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -31,12 +66,39 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_unmatched": p2_unmatched,
+    "p6_found": p6_found,
+    "p6_discovered": p6_discovered,
+    "p6_reliability": p6_reliability,
     "p7_ids": p7_ids,
     "p7_round_trip": p7_round_trip,
     "p9_found": p9_found,
     "p9_shares": p9_shares,
 }
 
+_STAND_IN = survivor._STAND_IN.replace("(?iu)", "(?i)").replace("'", "''")
+_CUT = survivor._CUT.replace("(?iu)", "(?i)").replace("'", "''")
+_BOILERPLATE = survivor._BOILERPLATE.replace("(?iu)", "(?i)").replace("'", "''")
+
 SQL: dict[str, str] = {
+    "p6_found": f"""WITH facts AS (
+      SELECT b.book_id, r.source, r.source_id, r.source_updated, r.page_count, r.publisher, r.published, trim(r.description, E' \\n\\t\\r') AS text,
+             count(*) OVER (PARTITION BY b.book_id) AS n
+      FROM book_sources b JOIN raw_book r ON b.source = r.source AND b.source_id = r.source_id),
+    claims AS (
+      SELECT *, 'description' AS field_name FROM facts
+      WHERE len(regexp_split_to_array(text, '\\s+')) >= 3 AND regexp_matches(text, '[.!?]["”)]*$') AND NOT regexp_matches(text, '{_STAND_IN}')
+        AND NOT regexp_matches(text, '{_CUT}') AND NOT regexp_matches(text, '{_BOILERPLATE}')
+      UNION ALL SELECT *, 'publisher' FROM facts
+      WHERE trim(publisher) <> '' AND lower(trim(publisher, ' []?-.')) NOT IN ('', 'n/a', 'none', 'unknown', 'unknown publisher', 'publisher unknown', 'publisher not identified', 's.n')
+      UNION ALL SELECT *, 'page_count' FROM facts WHERE page_count > 0
+      UNION ALL SELECT *, 'published' FROM facts
+      WHERE regexp_matches(published, '(^|[^0-9])(1[4-9][0-9]{{2}}|20[0-9]{{2}}|2100)([^0-9]|$)') OR regexp_full_match(published, 'M(CD|DC{{0,3}}|CM|M)?[CLXVI]*'))
+    SELECT book_id, field_name, source, source_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY book_id, field_name ORDER BY
+        CASE source WHEN 'goodreads' THEN 0 WHEN 'googlebooks' THEN 1 WHEN 'openlibrary' THEN 2 WHEN 'gutendex' THEN 3 ELSE 4 END,
+        source_updated DESC NULLS LAST, source_id) AS place
+      FROM claims WHERE n >= 2) WHERE place = 1""",
     "p7_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
