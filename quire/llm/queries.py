@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import canonical, encode, stuffing, survivor
+from quire.llm import canonical, encode, names, stuffing, survivor
 from quire.session import table
 
 
@@ -26,6 +26,22 @@ def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.unmatched(_typed_entries(spark, sf_dir), table(spark, sf_dir, "subject_terms"))
 
 
+def _stored_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.spellings([
+        table(spark, sf_dir, "gutendex_page1").select(F.explode("authors.name")),
+        table(spark, sf_dir, "openlibrary_search").select(F.explode("author_name")),
+        table(spark, sf_dir, "goodreads_autocomplete").select("author.name"),
+    ])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.name_pairs(_stored_names(spark, sf_dir))
+
+
+def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.name_entities(_stored_names(spark, sf_dir))
+
+
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = table(spark, sf_dir, "book_sources")
     return survivor.of_several(survivor.accounts(stored, table(spark, sf_dir, "raw_book")), stored)
@@ -68,6 +84,8 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_unmatched": p2_unmatched,
+    "p3_found": p3_found,
+    "p3_entities": p3_entities,
     "p6_found": p6_found,
     "p6_discovered": p6_discovered,
     "p6_reliability": p6_reliability,
