@@ -99,6 +99,7 @@ def parse_name(name: str) -> dict | None:
     text = re.sub(r"^(?:(?:dr|prof|mr|mrs|ms|sir|rev|dame|lady|lord)\b\.?\s*)+", "", text, flags=re.I)
     text = re.sub(r"(?:,\s*|\s*\()(?:author|editor|ed|eds|illustrator|translator|narrator|foreword|introduction)\b\.?\)?\s*$", "", text, flags=re.I)
     text = re.sub(r",?\s*\(?\b(?:b\.|d\.|ca?\.)?\s*\d{3,4}\s*(?:-\s*(?:\d{2,4})?)?\)?\s*$", "", text)
+    text = re.sub(r",?\s*\(?\b\d+\s*(?:B\.?C\.?(?:E\.?)?)\b[^,]*$", "", text)
     inner = re.search(r"\(([^)]*)\)", text)
     outer = re.sub(r"\([^)]*\)|\"[^\"]*\"|“[^”]*”|'[^' ]{2,}'(?=\s)", " ", text)
     if outer.count(",") >= 1:
@@ -151,7 +152,7 @@ def parse_names(names: DataFrame) -> DataFrame:
             rows = [parse_name(n) or {} for n in batch]
             yield pd.DataFrame([{c: r.get(c) for c in columns} for r in rows], columns=columns)
 
-    return names.select("name", parse("name").alias("form")).where("form.kind is not null")
+    return names.select("name", parse.asNondeterministic()("name").alias("form")).where("form.kind is not null")
 
 
 def segment_keys(text: Column, most: int, probe: bool) -> Column:
@@ -202,9 +203,10 @@ def _both_ways(pairs: DataFrame, group: tuple[str, ...] = ()) -> DataFrame:
     return there.unionByName(back).distinct()
 
 
-def _oriented(parsed: DataFrame) -> DataFrame:
+def _oriented(forms: DataFrame) -> DataFrame:
     """name, kind, surname, first, second, short: names without a comma are turned round where the corpus uses their
     first word as a surname and their last as a given name. Roles are learnt from the names that tell."""
+    parsed = cut_lineage(forms)
     told = parsed.where("form.kind = 'person'")
     first = told.where("form.role_first is not null").select(F.col("form.role_first").alias("word"), F.lit(1).alias("given"), F.lit(0).alias("family"))
     last = told.where("form.role_last is not null").select(F.col("form.role_last").alias("word"), F.lit(0).alias("given"), F.lit(1).alias("family"))
@@ -228,7 +230,7 @@ def _oriented(parsed: DataFrame) -> DataFrame:
 
 def _corrected_surnames(persons: DataFrame) -> DataFrame:
     """surname, family: rare surnames led to the common one within two edits (one for short ones), else to themselves."""
-    weights = persons.groupBy("kind", "surname").agg(F.count("*").alias("n"))
+    weights = cut_lineage(persons.groupBy("kind", "surname").agg(F.count("*").alias("n")))
     pairs = _both_ways(segment_join(weights.select("kind", "surname"), "surname", 2, ("kind",)), ("kind",))
     w = weights.select("kind", F.col("surname").alias("to"), F.col("n").alias("to_n"))
     v = weights.select("kind", F.col("surname").alias("from"), F.col("n").alias("from_n"))
@@ -253,7 +255,7 @@ def _bearers(people: DataFrame) -> DataFrame:
     of = full.select("family", F.col("first").alias("from"), F.col("n").alias("from_n"), F.col("families").alias("from_f"))
     misspelt = (
         pairs.join(to, ["family", "to"]).join(of, ["family", "from"])
-        .where("(to_n > from_n or (to_n = from_n and to_f > from_f)) and from_f <= to_f and (from_f < 3 or from_f * 20 <= to_f) and (least(length(`from`), length(`to`)) >= 4 or distance <= 1)")
+        .where("(to_n > from_n or (to_n = from_n and to_f > from_f)) and from_f <= to_f and (from_f < 3 or from_f * 8 <= to_f) and (least(length(`from`), length(`to`)) >= 4 or distance <= 1)")
         .select("family", F.col("from").alias("first"), F.col("to").alias("bearer"), "distance")
     )
     best = misspelt.groupBy("family", "first").agg(F.min_by("bearer", F.struct("distance", "bearer")).alias("bearer"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import canonical, encode, names, stuffing, survivor
+from quire.llm import canonical, encode, linkage, names, stuffing, survivor
 from quire.session import table
 
 
@@ -42,6 +42,18 @@ def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.name_entities(_stored_names(spark, sf_dir))
 
 
+def _open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.open_records(table(spark, sf_dir, "raw_book"), table(spark, sf_dir, "book_sources"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.matches(_open(spark, sf_dir)).select("record_a", "record_b")
+
+
+def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.link(_open(spark, sf_dir)).select("record_a", "record_b", "confidence")
+
+
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = table(spark, sf_dir, "book_sources")
     return survivor.of_several(survivor.accounts(stored, table(spark, sf_dir, "raw_book")), stored)
@@ -86,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_unmatched": p2_unmatched,
     "p3_found": p3_found,
     "p3_entities": p3_entities,
+    "p4_found": p4_found,
+    "p4_confidence": p4_confidence,
     "p6_found": p6_found,
     "p6_discovered": p6_discovered,
     "p6_reliability": p6_reliability,
