@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import canonical, encode, linkage, names, stuffing, survivor
+from quire.llm import canonical, encode, linkage, mixing, names, stuffing, survivor
 from quire.session import table
 
 
@@ -85,6 +85,15 @@ def p7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.bound(ids, pieces, "doc_id", text=lambda p: encode.decode_ids(F.col("ids"), p))
 
 
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).select("doc_id", "tokens", "uses")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = table(spark, sf_dir, "mix_targets")
+    return mixing.shares(mixing.mix(table(spark, sf_dir, "documents"), targets), targets)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffing.stuffed_pages(table(spark, sf_dir, "documents"))
 
@@ -105,6 +114,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_reliability": p6_reliability,
     "p7_ids": p7_ids,
     "p7_round_trip": p7_round_trip,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
     "p9_shares": p9_shares,
 }
