@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import training
+from quire.plans import catalogue, training
 
-MODULES = [training]
-FLAGSHIP = training.p5_found
+MODULES = [catalogue, training]
+FLAGSHIP = catalogue.ranked_merge
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
