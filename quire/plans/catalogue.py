@@ -202,8 +202,8 @@ def html_clean(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT record_id, trim(regexp_extract(t, '(?is)^(.*)\\s+by\\s+(.*)$', 1)) AS title, trim(regexp_extract(t, '(?is)^(.*)\\s+by\\s+(.*)$', 2)) AS author FROM (
     SELECT record_id, title || ' by ' || authors[1].name AS t FROM raw_book WHERE len(authors) > 0 AND title IS NOT NULL AND authors[1].name IS NOT NULL)""")
 def split_by_author(spark: SparkSession, d: str) -> DataFrame:
-    rows = _raw(spark, d).where("size(authors) > 0 and title is not null and authors[0].name is not null")
-    joined = F.concat_ws(" by ", F.col("title"), F.col("authors")[0]["name"])
+    rows = _raw(spark, d).where("size(authors) > 0 and title is not null and get(authors, 0).name is not null")
+    joined = F.concat_ws(" by ", F.col("title"), F.get("authors", F.lit(0))["name"])
     return rows.select("record_id", similarity.split_by_author(joined).alias("s")).select("record_id", "s.title", "s.author")
 
 

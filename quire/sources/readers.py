@@ -36,8 +36,8 @@ def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     """
     columns = F.split("value", "\t", -1)
     lines = spark.read.option("ignoreCorruptFiles", "false").text(path)
-    rows = lines.select("value", columns.alias("c")).where((F.size("c") == 5) & (F.col("c")[0] == EDITION))
-    return rows.select("value", F.try_parse_json(F.col("c")[4]).alias("doc")).where("doc is not null")
+    rows = lines.select("value", columns.alias("c")).where((F.size("c") == 5) & (F.get("c", F.lit(0)) == EDITION))
+    return rows.select("value", F.try_parse_json(F.get("c", F.lit(4))).alias("doc")).where("doc is not null")
 
 
 def guarded(frame: DataFrame) -> DataFrame:
