@@ -185,15 +185,11 @@ def corrected_words(rows: DataFrame) -> DataFrame:
     """word, right: misspelt title words and the commoner word within two edits (one for short ones)."""
     words = rows.select(F.explode("tokens").alias("word")).where(F.length("word") >= 4).groupBy("word").agg(F.count("*").alias("n"))
     words = cut_lineage(words.where(~F.col("word").rlike(r"\d")))
-    pairs = names.segment_join(words.select("word"), "word", 2)
-    both = names._both_ways(pairs)
-    near = both.join(words.toDF("from", "from_n"), "from").join(words.toDF("to", "to_n"), "to")
-    near = near.where(
-        "(to_n > from_n or (to_n = from_n and `to` < `from`)) and (from_n <= 3 or to_n >= 40 * from_n) and (distance <= 1 or length(`from`) >= 7 or (length(`from`) = 6 and to_n >= 40 * from_n) or array_sort(split(`from`, '')) = array_sort(split(`to`, ''))) and (length(`from`) >= 5 or to_n >= 40 * from_n)"
+    near = names.towards_common(names.segment_join(words, "word", 2, (), ("n",)), (), F.expr(names.COMMONER)).where(
+        "(from_n <= 3 or to_n >= 40 * from_n) and (length(`from`) >= 5 or to_n >= 40 * from_n) and (distance <= 1 or length(`from`) >= 7"
+        " or (length(`from`) = 6 and to_n >= 40 * from_n) or array_sort(split(`from`, '')) = array_sort(split(`to`, '')))"
     )
-    best = near.groupBy("from").agg(F.min_by("to", F.struct("distance", -F.col("to_n"), "to")).alias("to"))
-    hop = best.toDF("to", "beyond")
-    return best.join(hop, "to", "left").select(F.col("from").alias("word"), F.coalesce("beyond", "to").alias("right"))
+    return near.groupBy(F.col("from").alias("word")).agg(F.min_by("to", F.struct("distance", -F.col("to_n"), "to")).alias("right"))
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -215,12 +211,10 @@ def keyed(rows: DataFrame) -> DataFrame:
     titled = fixed.withColumn("k", key.asNondeterministic()(tokens)).select("*", "k.key", "k.work", "k.subtitle").drop("k", "tokens", "fixes").where("key is not null")
 
     spelled = rows.select(F.explode("author_names").alias("name")).distinct()
-    parsed = cut_lineage(names._oriented(names.parse_names(spelled.repartition("name"))))
-    families = names._corrected_surnames(parsed)
-    formal = F.broadcast(rows.sparkSession.createDataFrame([(s, f.split()[0][0]) for s, f in names.NICKNAMES.items()], "first string, formal string"))
-    person = parsed.join(families, ["kind", "surname"]).join(formal, "first", "left").select(
-        "name", F.concat_ws("|", "family", F.coalesce("formal", F.substring("first", 1, 1))).alias("author")
-    )
+    parsed = names._with_family(cut_lineage(names._oriented(names.parse_names(spelled))))
+    formal = F.create_map(*[F.lit(x) for short, full in names.NICKNAMES.items() for x in (short, full[0])])
+    initial = F.coalesce(F.try_element_at(formal, F.col("first")), F.substring("first", 1, 1))
+    person = parsed.select("name", F.concat_ws("|", "family", initial).alias("author"))
     listed = (
         rows.select("record_id", F.explode("author_names").alias("name")).join(person, "name").groupBy("record_id").agg(F.array_sort(F.collect_set("author")).alias("authors"))
     )

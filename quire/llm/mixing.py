@@ -17,10 +17,6 @@ no documents or no targets give no rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,6 +49,11 @@ def token_counts(documents: DataFrame) -> DataFrame:
 
 def memberships(documents: DataFrame, sources: list[str], training_rows: int = TRAINING_ROWS) -> DataFrame:
     """doc_id, membership: array<double> over ``sources``; rows of sources without a target are left out."""
+    # Imported where they are used: no other operator needs them in the driver's memory.
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+
     rows = check_columns(documents, ["doc_id", "text", "source"])
     at = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source"))
     own = lambda i: F.when(at == i + 1, 1.0).otherwise(0.0)
@@ -70,8 +71,8 @@ def memberships(documents: DataFrame, sources: list[str], training_rows: int = T
         only = F.array(*[F.lit(1.0 if i == seen[0] else 0.0) for i in range(len(sources))])
         return listed.unionByName(unlabelled.select("doc_id", only.alias("membership")))
     tf = HashingTF(inputCol="words", outputCol="features", numFeatures=FEATURES)
-    model = Pipeline(stages=[tf, NaiveBayes(smoothing=1.0)]).fit(labelled)
-    guessed = model.transform(unlabelled.withColumn("words", words)).select("doc_id", vector_to_array("probability").alias("p"))
+    model = NaiveBayes(smoothing=1.0).fit(tf.transform(labelled))
+    guessed = model.transform(tf.transform(unlabelled.withColumn("words", words))).select("doc_id", vector_to_array("probability").alias("p"))
     # The model knows classes up to the largest label seen; the rest have no documents.
     whole = F.array(*[F.coalesce(F.try_element_at("p", F.lit(i + 1)), F.lit(0.0)) for i in range(len(sources))])
     return listed.unionByName(guessed.select("doc_id", whole.alias("membership")))

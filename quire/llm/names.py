@@ -184,123 +184,108 @@ def segment_keys(text: Column, most: int, probe: bool) -> Column:
     return F.array_distinct(F.flatten(F.array(*[parts(length) for length in lengths])))
 
 
-def segment_join(texts: DataFrame, text: str, most: int, group: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs (group..., shorter, longer, distance) of different texts of one group within ``most`` edits; the rows of
-    ``texts`` must be distinct. No pair is missed: ``most`` edits leave one of ``most`` + 1 segments intact."""
+def segment_join(texts: DataFrame, text: str, most: int, group: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (group..., shorter, longer, distance) of different texts of one group within ``most`` edits, each with the
+    ``carry`` columns of both sides (shorter_x, longer_x); the rows of ``texts`` must be distinct.
+
+    No pair is missed: ``most`` edits leave one of ``most`` + 1 segments intact.
+    """
     keep = list(group)
-    index = texts.select(*keep, F.col(text).alias("shorter"), F.explode(segment_keys(F.col(text), most, probe=False)).alias("key"))
-    index = index.select(*keep, "shorter", "key.length", "key.segment", "key.part")
-    probe = texts.select(*keep, F.col(text).alias("longer"), F.explode(segment_keys(F.col(text), most, probe=True)).alias("key"))
-    probe = probe.select(*keep, "longer", "key.length", "key.segment", "key.part")
-    met = index.join(probe, [*keep, "length", "segment", "part"]).where("shorter <> longer")
-    near = F.levenshtein("shorter", "longer", most)
-    return met.select(*keep, "shorter", "longer", near.alias("distance")).where("distance >= 0").distinct()
 
+    def side(name: str, probe: bool) -> DataFrame:
+        own = [F.col(c).alias(f"{name}_{c}") for c in carry]
+        rows = texts.select(*keep, F.col(text).alias(name), *own, F.explode(segment_keys(F.col(text), most, probe)).alias("key"))
+        return rows.select(*[c for c in rows.columns if c != "key"], "key.length", "key.segment", "key.part")
+
+    met = side("shorter", False).join(side("longer", True), [*keep, "length", "segment", "part"]).where("shorter <> longer")
+    near = met.withColumn("distance", F.levenshtein("shorter", "longer", most)).where("distance >= 0")
+    return near.drop("length", "segment", "part").distinct()
+
+
+def towards_common(pairs: DataFrame, group: tuple[str, ...], more: Column) -> DataFrame:
+    """``pairs`` as from -> to with the ``n`` (and ``families``) of both; ``more``: whether the shorter text is the goal."""
+    carried = [c.removeprefix("shorter_") for c in pairs.columns if c.startswith("shorter_")]
+    pick = lambda yes, no, name: F.when(more, F.col(yes)).otherwise(F.col(no)).alias(name)
+    return pairs.select(
+        *group, "distance", pick("longer", "shorter", "from"), pick("shorter", "longer", "to"),
+        *[pick(f"longer_{c}", f"shorter_{c}", f"from_{c}") for c in carried], *[pick(f"shorter_{c}", f"longer_{c}", f"to_{c}") for c in carried],
+    )
 
-def _both_ways(pairs: DataFrame, group: tuple[str, ...] = ()) -> DataFrame:
-    there = pairs.select(*group, F.col("shorter").alias("from"), F.col("longer").alias("to"), "distance")
-    back = pairs.select(*group, F.col("longer").alias("from"), F.col("shorter").alias("to"), "distance")
-    return there.unionByName(back).distinct()
+
+COMMONER = "shorter_n > longer_n or (shorter_n = longer_n and shorter < longer)"
 
 
 def _oriented(forms: DataFrame) -> DataFrame:
     """name, kind, surname, first, second, short: names without a comma are turned round where the corpus uses their
-    first word as a surname and their last as a given name. Roles are learnt from the names that tell."""
+    first word as a surname more than as a given name. Roles are learnt from the names that tell."""
     parsed = cut_lineage(forms)
-    told = parsed.where("form.kind = 'person'")
-    first = told.where("form.role_first is not null").select(F.col("form.role_first").alias("word"), F.lit(1).alias("given"), F.lit(0).alias("family"))
-    last = told.where("form.role_last is not null").select(F.col("form.role_last").alias("word"), F.lit(0).alias("given"), F.lit(1).alias("family"))
-    roles = first.unionByName(last).groupBy("word").agg(F.sum("given").alias("given"), F.sum("family").alias("family"))
-    lean = roles.select("word", F.when(F.col("family") > F.col("given"), 1).when(F.col("family") < F.col("given"), -1).otherwise(0).alias("lean"))
-    asked = parsed.where("form.turned is not null")
-    head, tail = lean.toDF("head", "head_lean"), lean.toDF("tail", "tail_lean")
-    turned = (
-        asked.join(head, F.col("form.role_first") == F.col("head"), "left")
-        .join(tail, F.col("form.role_last") == F.col("tail"), "left")
-        .withColumn("turn", (F.coalesce("head_lean", F.lit(0)) > 0) & (F.coalesce("tail_lean", F.lit(0)) <= 0))
-    )
-    t = F.col("form.turned")
-    pick = lambda i, c: F.when(F.col("turn"), t[i]).otherwise(F.col(f"form.{c}"))
-    free = turned.select(
-        "name", F.col("form.kind").alias("kind"), pick(0, "surname").alias("surname"), pick(1, "first").alias("first"),
-        F.nullif(F.coalesce(pick(2, "second"), F.lit("")), F.lit("")).alias("second"), F.when(F.col("turn"), t[3] == "True").otherwise(F.col("form.short")).alias("short"),
-    )
-    return free.unionByName(parsed.where("form.turned is null").select("name", "form.kind", "form.surname", "form.first", "form.second", "form.short"))
+    words = F.array(F.struct(F.col("form.role_first").alias("word"), F.lit(-1).alias("lean")), F.struct(F.col("form.role_last").alias("word"), F.lit(1).alias("lean")))
+    told = parsed.where("form.kind = 'person'").select(F.explode(words).alias("w")).where("w.word is not null")
+    family = told.groupBy(F.col("w.word").alias("word")).agg(F.sum("w.lean").alias("lean")).where("lean > 0").select("word", F.lit(True).alias("turn"))
+    asked = parsed.join(family, (F.col("form.role_first") == F.col("word")) & F.col("form.turned").isNotNull(), "left")
+    t, turn = F.col("form.turned"), F.coalesce("turn", F.lit(False))
+    pick = lambda i, c: F.when(turn, F.nullif(t[i], F.lit(""))).otherwise(F.col(f"form.{c}")).alias(c)
+    short = F.when(turn, t[3] == "True").otherwise(F.coalesce("form.short", F.lit(False)))
+    return asked.select("name", F.col("form.kind").alias("kind"), pick(0, "surname"), pick(1, "first"), pick(2, "second"), short.alias("short"))
 
 
-def _corrected_surnames(persons: DataFrame) -> DataFrame:
-    """surname, family: rare surnames led to the common one within two edits (one for short ones), else to themselves."""
-    weights = cut_lineage(persons.groupBy("kind", "surname").agg(F.count("*").alias("n")))
-    pairs = _both_ways(segment_join(weights.select("kind", "surname"), "surname", 2, ("kind",)), ("kind",))
-    w = weights.select("kind", F.col("surname").alias("to"), F.col("n").alias("to_n"))
-    v = weights.select("kind", F.col("surname").alias("from"), F.col("n").alias("from_n"))
-    fit = pairs.join(w, ["kind", "to"]).join(v, ["kind", "from"])
-    likely = fit.where("(to_n > from_n or (to_n = from_n and `to` < `from`)) and (from_n <= 2 or to_n >= 4 * from_n) and (length(`from`) >= 8 or distance <= 1) and length(`from`) >= 4")
-    best = likely.groupBy("kind", "from").agg(F.min_by("to", F.struct("distance", -F.col("to_n"), "to")).alias("to"))
-    hop = best.select("kind", F.col("from").alias("to"), F.col("to").alias("beyond"))
-    led = best.join(hop, ["kind", "to"], "left").select("kind", F.col("from").alias("surname"), F.coalesce("beyond", "to").alias("family"))
-    return weights.select("kind", "surname").join(led, ["kind", "surname"], "left").withColumn("family", F.coalesce("family", "surname"))
+def _with_family(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with ``family``: rare surnames led to the common one within two edits (one for short ones)."""
+    weights = cut_lineage(parsed.groupBy("kind", "surname").agg(F.count("*").alias("n")))
+    pairs = towards_common(segment_join(weights, "surname", 2, ("kind",), ("n",)), ("kind",), F.expr(COMMONER))
+    likely = pairs.where("(from_n <= 2 or to_n >= 4 * from_n) and (length(`from`) >= 8 or distance <= 1) and length(`from`) >= 4")
+    best = likely.groupBy("kind", F.col("from").alias("surname")).agg(F.min_by("to", F.struct("distance", -F.col("to_n"), "to")).alias("family"))
+    return parsed.join(best, ["kind", "surname"], "left").withColumn("family", F.coalesce("family", "surname"))
 
 
 def _bearers(people: DataFrame) -> DataFrame:
-    """family, first -> bearer: the full given name that a given name, misspelt, short or familiar, stands for."""
-    forms = people.groupBy("family", "first").agg(F.count("*").alias("n"), F.max("short").alias("short"))
-    known = people.where("not short").select("family", "first").distinct().groupBy("first").agg(F.count("*").alias("families"))
-    forms = cut_lineage(forms.join(known, "first", "left").withColumn("families", F.coalesce("families", F.lit(0))))
-    nicknames = F.broadcast(people.sparkSession.createDataFrame([(s, f) for s, fs in NICKNAMES.items() for f in fs.split()], "first string, formal string"))
-    full = forms.where("not short and length(first) > 1")
-
-    pairs = _both_ways(segment_join(full.select("family", "first"), "first", 2, ("family",)), ("family",))
-    to = full.select("family", F.col("first").alias("to"), F.col("n").alias("to_n"), F.col("families").alias("to_f"))
-    of = full.select("family", F.col("first").alias("from"), F.col("n").alias("from_n"), F.col("families").alias("from_f"))
-    misspelt = (
-        pairs.join(to, ["family", "to"]).join(of, ["family", "from"])
-        .where("(to_n > from_n or (to_n = from_n and to_f > from_f)) and from_f <= to_f and (from_f < 3 or from_f * 8 <= to_f) and (least(length(`from`), length(`to`)) >= 4 or distance <= 1)")
-        .select("family", F.col("from").alias("first"), F.col("to").alias("bearer"), "distance")
+    """family, first -> bearer: the full given name that a given name, misspelt or familiar, stands for."""
+    full = people.where("not short and length(first) > 1").groupBy("family", "first").agg(F.count("*").alias("n"))
+    full = cut_lineage(full.withColumn("families", F.count("*").over(Window.partitionBy("first"))))
+    goal = F.expr("shorter_n > longer_n or (shorter_n = longer_n and shorter_families > longer_families)")
+    pairs = towards_common(segment_join(full, "first", 2, ("family",), ("n", "families")), ("family",), goal)
+    misspelt = pairs.where(
+        "(to_n > from_n or to_families > from_families) and from_families <= to_families and (from_families < 3 or from_families * 8 <= to_families)"
+        " and (least(length(`from`), length(`to`)) >= 4 or distance <= 1)"
     )
-    best = misspelt.groupBy("family", "first").agg(F.min_by("bearer", F.struct("distance", "bearer")).alias("bearer"))
-    fixed = full.join(best, ["family", "first"], "left").select("family", "first", "n", F.coalesce("bearer", "first").alias("bearer"))
-    familiar = (
-        fixed.join(nicknames, "first").join(fixed.select("family", F.col("bearer").alias("formal")).distinct(), ["family", "formal"])
-        .groupBy("family", "first").agg(F.count_distinct("formal").alias("fits"), F.min("formal").alias("formal")).where("fits = 1").drop("fits")
-    )
-    return fixed.join(familiar, ["family", "first"], "left").select("family", "first", F.coalesce("formal", "bearer").alias("bearer"))
+    best = misspelt.groupBy("family", F.col("from").alias("first")).agg(F.min_by("to", F.struct("distance", "to")).alias("bearer"))
+    fixed = cut_lineage(full.join(best, ["family", "first"], "left").select("family", "first", F.coalesce("bearer", "first").alias("bearer")))
+    table = F.create_map(*[F.lit(x) for pair in NICKNAMES.items() for x in pair])
+    asked = fixed.select("family", "first", F.explode(F.split(F.try_element_at(table, F.col("first")), " ")).alias("formal"))
+    held = fixed.select("family", F.col("bearer").alias("formal")).distinct()
+    familiar = asked.join(held, ["family", "formal"]).groupBy("family", "first").agg(F.count("*").alias("fits"), F.min("formal").alias("formal")).where("fits = 1")
+    return fixed.join(familiar.drop("fits"), ["family", "first"], "left").select("family", "first", F.coalesce("formal", "bearer").alias("bearer"))
 
 
 def name_entities(names: DataFrame) -> DataFrame:
     """name, entity: each distinct spelling and the key of the person or organisation it names."""
     spellings = names.select("name").where("name is not null").distinct()
-    parsed = cut_lineage(_oriented(parse_names(spellings.repartition("name"))))
+    parsed = cut_lineage(_oriented(parse_names(spellings)))
     # Organisations and single words: the whole key is a surname without given names.
-    families = _corrected_surnames(parsed)
-    placed = cut_lineage(parsed.join(families, ["kind", "surname"]))
+    placed = cut_lineage(_with_family(parsed))
     others = placed.where("kind <> 'person'").select("name", F.concat_ws("|", "kind", "family").alias("entity"))
 
-    people = placed.where("kind = 'person'").select("name", "family", "first", "second", F.coalesce("short", F.lit(False)).alias("short"))
-    bearers = cut_lineage(_bearers(people))
-    full = people.where("not short").join(bearers, ["family", "first"]).select("name", "family", "bearer", "second")
-    # Who bears the surname: given name and the initials of second names seen with it.
+    people = placed.where("kind = 'person'").select("name", "family", "first", "second", "short")
+    named = F.col("short") | (F.length("first") <= 1)
+    full = cut_lineage(people.where(~named).join(_bearers(people), ["family", "first"]).select("name", "family", "bearer", "second"))
+    # Who bears the surname: given names and the initials of second names seen with them.
     seconds = full.groupBy("family", "bearer").agg(F.collect_set(F.substring("second", 1, 1)).alias("initials"))
-    wanted = people.where("short").select("name", "family", "first", "second")
-    fits = (
-        wanted.withColumn("initial", F.substring("first", 1, 1))
-        .join(seconds.withColumn("initial", F.substring("bearer", 1, 1)), ["family", "initial"])
-        .where(F.col("bearer").startswith(F.col("first")))
-        .withColumn("agrees", F.col("second").isNull() | F.array_contains("initials", F.substring("second", 1, 1)))
-        .withColumn("open", F.col("agrees") | (F.size("initials") == 0))
-    )
-    ranked = fits.where("open").groupBy("name", "family", "second").agg(
-        F.count_if("agrees").alias("sure"), F.count("*").alias("all"), F.min(F.when(F.col("agrees"), F.col("bearer"))).alias("a"), F.min("bearer").alias("b")
+    wanted = people.where(named).select("name", "family", "first", "second").withColumn("initial", F.substring("first", 1, 1))
+    fits = wanted.join(seconds.withColumn("initial", F.substring("bearer", 1, 1)), ["family", "initial"], "left").withColumn(
+        "fits", F.coalesce(F.col("bearer").startswith(F.col("first")), F.lit(False))
     )
-    led = ranked.select("name", F.when(F.col("sure") == 1, F.col("a")).when((F.col("sure") == 0) & (F.col("all") == 1), F.col("b")).alias("bearer"))
-    short = wanted.join(led, "name", "left").select(
-        "name", "family", F.coalesce("bearer", F.concat(F.col("first"), F.lit("."), F.coalesce("second", F.lit("")))).alias("bearer"), "second"
+    agrees = F.col("fits") & (F.col("second").isNull() | F.array_contains("initials", F.substring("second", 1, 1)))
+    open_to = F.col("fits") & (agrees | (F.size("initials") == 0))
+    ranked = fits.groupBy("name", "family", "first", "second").agg(
+        F.count_if(agrees).alias("sure"), F.count_if(open_to).alias("all"), F.min(F.when(agrees, F.col("bearer"))).alias("a"), F.min(F.when(open_to, F.col("bearer"))).alias("b")
     )
-    everyone = full.unionByName(short)
+    led = F.when(F.col("sure") == 1, F.col("a")).when((F.col("sure") == 0) & (F.col("all") == 1), F.col("b"))
+    nobody = F.concat(F.col("first"), F.lit("."), F.coalesce("second", F.lit("")))
+    everyone = full.unionByName(ranked.select("name", "family", F.coalesce(led, nobody).alias("bearer"), "second"))
     # Second names that contradict each other tell persons apart; then a name without one is neither's.
-    clash = everyone.where("second is not null").groupBy("family", "bearer").agg(F.count_distinct(F.substring("second", 1, 1)).alias("kinds")).where("kinds > 1")
-    told = everyone.join(clash, ["family", "bearer"], "left").withColumn("apart", F.when(F.col("kinds").isNotNull(), F.coalesce(F.substring("second", 1, 1), F.lit("?"))))
-    person = told.select("name", F.concat_ws("|", F.lit("person"), "family", "bearer", "apart").alias("entity"))
+    kinds = F.size(F.collect_set(F.substring("second", 1, 1)).over(Window.partitionBy("family", "bearer")))
+    apart = F.when(kinds > 1, F.coalesce(F.substring("second", 1, 1), F.lit("?")))
+    person = everyone.select("name", F.concat_ws("|", F.lit("person"), "family", "bearer", apart).alias("entity"))
     return person.unionByName(others)
 
 
