@@ -43,7 +43,7 @@ _VOLUME = {"part", "pt", "volume", "vol", "v", "book", "bk", "band", "tome", "te
 #: What comes before or after a work's title when another work is meant (fixed values).
 BEFORE = (
     ("study", "questions", "for"), ("summary", "of"), ("readers", "guide", "to"), ("study", "guide", "to"), ("companion", "to"), ("notes", "on"), ("return", "to"),
-    ("beyond",), ("last", "of"), ("key", "to"), ("analysis", "of"), ("guide", "to"), ("workbook", "for"),
+    ("beyond",), ("last", "of"), ("key", "to"), ("analysis", "of"), ("guide", "to"), ("workbook", "for"), ("more", "about"),
 )
 AFTER = (
     ("continued",), ("retold", "for", "children"), ("the", "workbook"), ("workbook",), ("the", "return"), ("study", "guide"), ("readers", "guide"), ("abridged",),
@@ -66,6 +66,7 @@ def title_tokens(title: str | None, subtitle: str | None) -> list[str]:
     text = re.sub(r"\s*\[[^\]]*\]|\s*\([^)]*\)", " ", plain(title))
     # An article moved behind the title goes back in front of it.
     text = re.sub(r"^([^:;|]*?),\s*(the|a|an)(?=\s*(?:$|[:;.,|]|\$b|(?:part|vol(?:ume)?|v|book|bk)\b))", r"\2 \1", text)
+    text = re.sub(r"^(.*),\s*(the|a|an)\s*\.?\s*$", r"\2 \1", text)
     whole = f"{text} : {plain(subtitle)}" if subtitle and subtitle.strip() else text
     whole = re.sub(r"\$b|[:;|]|\s[-–—]\s", " | ", whole.replace("&", " and "))
     whole = re.sub(r"(?<=\w)['’](?=\w)", "", whole)
@@ -186,10 +187,12 @@ def corrected_words(rows: DataFrame) -> DataFrame:
     words = rows.select(F.explode("tokens").alias("word")).where(F.length("word") >= 4).groupBy("word").agg(F.count("*").alias("n"))
     words = cut_lineage(words.where(~F.col("word").rlike(r"\d")))
     near = names.towards_common(names.segment_join(words, "word", 2, (), ("n",)), (), F.expr(names.COMMONER)).where(
-        "(from_n <= 3 or to_n >= 40 * from_n) and (length(`from`) >= 5 or to_n >= 40 * from_n) and (distance <= 1 or length(`from`) >= 7"
-        " or (length(`from`) = 6 and to_n >= 40 * from_n) or array_sort(split(`from`, '')) = array_sort(split(`to`, '')))"
+        "(from_n <= 3 or to_n >= 10 * from_n) and (length(`from`) >= 5 or to_n >= 10 * from_n) and (distance <= 1 or length(`from`) >= 7"
+        " or (length(`from`) = 6 and to_n >= 20 * from_n) or array_sort(split(`from`, '')) = array_sort(split(`to`, '')))"
     )
-    return near.groupBy(F.col("from").alias("word")).agg(F.min_by("to", F.struct("distance", -F.col("to_n"), "to")).alias("right"))
+    # A misspelling may be nearest to another one: a common word is the goal before a rare one.
+    goal = F.struct((F.col("to_n") < 10).alias("rare"), F.col("distance"), -F.col("to_n"), F.col("to"))
+    return near.groupBy(F.col("from").alias("word")).agg(F.min_by("to", goal).alias("right"))
 
 
 def keyed(rows: DataFrame) -> DataFrame:

@@ -234,7 +234,7 @@ def _with_family(parsed: DataFrame) -> DataFrame:
     weights = cut_lineage(parsed.groupBy("kind", "surname").agg(F.count("*").alias("n")))
     pairs = towards_common(segment_join(weights, "surname", 2, ("kind",), ("n",)), ("kind",), F.expr(COMMONER))
     likely = pairs.where("(from_n <= 2 or to_n >= 4 * from_n) and (length(`from`) >= 8 or distance <= 1) and length(`from`) >= 4")
-    best = likely.groupBy("kind", F.col("from").alias("surname")).agg(F.min_by("to", F.struct("distance", -F.col("to_n"), "to")).alias("family"))
+    best = likely.groupBy("kind", F.col("from").alias("surname")).agg(F.min_by("to", F.struct((F.col("to_n") <= 2).alias("rare"), F.col("distance"), -F.col("to_n"), F.col("to"))).alias("family"))
     return parsed.join(best, ["kind", "surname"], "left").withColumn("family", F.coalesce("family", "surname"))
 
 
@@ -248,7 +248,7 @@ def _bearers(people: DataFrame) -> DataFrame:
         "(to_n > from_n or to_families > from_families) and from_families <= to_families and (from_families < 3 or from_families * 8 <= to_families)"
         " and (least(length(`from`), length(`to`)) >= 4 or distance <= 1)"
     )
-    best = misspelt.groupBy("family", F.col("from").alias("first")).agg(F.min_by("to", F.struct("distance", "to")).alias("bearer"))
+    best = misspelt.groupBy("family", F.col("from").alias("first")).agg(F.min_by("to", F.struct((F.col("to_n") <= 1).alias("rare"), F.col("distance"), F.col("to"))).alias("bearer"))
     fixed = cut_lineage(full.join(best, ["family", "first"], "left").select("family", "first", F.coalesce("bearer", "first").alias("bearer")))
     table = F.create_map(*[F.lit(x) for pair in NICKNAMES.items() for x in pair])
     asked = fixed.select("family", "first", F.explode(F.split(F.try_element_at(table, F.col("first")), " ")).alias("formal"))
