@@ -256,13 +256,17 @@ def candidates(rows: DataFrame) -> DataFrame:
     Where one of the two has no authors a publisher brings them together as well, and the title alone does so where most
     records of that title name one author, so that no common title forms a block.
     """
+    # What is only compared for equality travels as digests and numbers.
+    rows = rows.withColumns({
+        "key": F.unhex(F.md5("key")), "isbns": F.transform("isbns", lambda c: c.cast("long")), "authors": F.transform("authors", lambda a: F.xxhash64(a)),
+    })
     side = lambda frame, name: frame.select(*[F.col(c) for c in frame.columns]).alias(name)
-    by = lambda frame, what, column: frame.withColumn("by", F.concat_ws("|", F.lit(what), "key", column))
+    by = lambda frame, what, column: frame.withColumn("by", F.unhex(F.md5(F.concat(F.lit(what), F.hex("key"), column.cast("string")))))
     dated, housed = rows.where("year is not null"), rows.where("publisher is not null")
     silent = rows.where(F.size("authors") == 0)
     few = rows.join(_one_work(rows), "key", "left_semi")
     authored = by(rows.withColumn("each", F.explode("authors")), "author", F.col("each")).drop("each")
-    numbered = rows.withColumn("by", F.explode("isbns"))
+    numbered = rows.withColumn("each", F.explode("isbns")).withColumn("by", F.unhex(F.md5(F.col("each").cast("string")))).drop("each")
     near = by(dated.withColumn("each", F.explode(F.array(*[F.col("year") + d for d in (-1, 0, 1)]))), "year", F.col("each").cast("string")).drop("each")
     joins = [
         (authored, authored),
