@@ -7,11 +7,13 @@ array). A segment counts as stuffing if its pairs are mostly regular, if it is a
 or if it is nothing but a link, tags, spelled-out letters or a fragment without a sentence's end. A page is flagged if
 more than ``STUFFED_SHARE`` of its characters lie in such segments.
 
-Everything is computed within a row by array functions, so no text is ever shuffled. Identical lines are counted once
-when recurrence is measured: a refrain is verse, not stuffing.
+Everything is computed within a row by array functions, so no text is ever shuffled. Identical segments are counted once
+when the recurrence of terms is measured: a refrain between differing lines is verse, not stuffing. Segments that recur
+``MANY`` times are measured apart: where they make up more than ``MOST`` of the page's characters, those of them whose
+words are mostly content words are stuffing. A text of ordinary sentences that is repeated as a whole stays genuine.
 
-Defined results: null, empty and blank texts and texts of fewer than ``MIN_WORDS`` words are genuine unless they hold
-several links or tags; every copy of a page is judged alike; extra columns are ignored.
+Defined results: null, empty and blank texts and texts of fewer than ``MIN_WORDS`` words, repeated ones included, are
+genuine unless they hold several links or tags; every copy of a page is judged alike; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +31,12 @@ MAX_WORD_LAG = 8
 MIN_WORDS = 8
 #: Measured shares lie below 0.3 for genuine and above 0.45 for stuffed pages; titles inside stuffing pass as prose.
 STUFFED_SHARE = 0.4
+#: Occurrences from which a segment is a recurring one, and the share of a page above which such segments are judged:
+#: refrains measured make up at most 0.52 of a page.
+MANY = 4
+MOST = 0.6
+#: Share of function words below which a recurring segment is made of keywords.
+KEYWORDS = 0.5
 #: Function words of the corpus' languages (fixed values).
 FUNCTION_WORDS = (
     "a about after all although always an and any are as at be because been before but by can could did do does for from "
@@ -119,15 +127,36 @@ def _segments(lines: Column) -> Column:
 
 
 def _prepare(segment: Column) -> Column:
-    """struct(text, rest without links, links, words of the rest)."""
+    """struct(text, rest without links, links, words of the rest, hash of these words or null without words)."""
     maybe = _has_link(segment)
     rest = F.when(maybe, F.regexp_replace(segment, _LINK, " ")).otherwise(segment)
     links = F.when(maybe, F.regexp_count(segment, F.lit(_LINK))).otherwise(0)
-    return let(rest, lambda r: F.struct(segment.alias("text"), r.alias("rest"), links.alias("links"), _tokens(r).alias("words")))
+    hashed = lambda w: F.when(F.size(w) > 0, F.xxhash64(w)).alias("hash")
+    return let(
+        rest,
+        lambda r: let(_tokens(r), lambda w: F.struct(segment.alias("text"), r.alias("rest"), links.alias("links"), w.alias("words"), hashed(w))),
+    )
+
+
+def _recurring(segments: Column) -> Column:
+    """Hashes of the segments that occur ``MANY`` times if these make up more than ``MOST`` of the characters, else none."""
+    hashes = F.array_sort(F.filter(F.transform(segments, lambda s: s["hash"]), lambda h: h.isNotNull()))
+    total = lambda items: F.aggregate(items, F.lit(0).cast("long"), lambda t, s: t + F.length(s["text"]))
+
+    def many(h: Column) -> Column:
+        m = F.greatest(F.size(h) - (MANY - 1), F.lit(0))
+        same = F.zip_with(F.slice(h, F.lit(1), m), F.slice(h, F.lit(MANY), m), lambda a, b: F.when(a == b, a))
+        return F.array_distinct(F.filter(same, lambda a: a.isNotNull()))
+
+    def most(found: Column) -> Column:
+        of = F.filter(segments, lambda s: F.array_contains(found, s["hash"]))
+        return F.when((F.size(found) > 0) & (total(of) > MOST * total(segments)), found).otherwise(F.array().cast("array<bigint>"))
+
+    return let(let(hashes, many), most)
 
 
-def _judge(segment: Column, regular: Column) -> Column:
-    """True if a prepared segment is stuffing."""
+def _judge(segment: Column, regular: Column, recurring: Column) -> Column:
+    """True if a prepared segment is stuffing, given the page's regular terms and recurring segments."""
     text, rest, words = segment["text"], segment["rest"], segment["words"]
     n = F.size(words).cast("double")
     share = lambda condition: F.size(F.filter(words, condition)) / F.greatest(n, F.lit(1.0))
@@ -142,6 +171,7 @@ def _judge(segment: Column, regular: Column) -> Column:
         F.when(text.contains("#"), F.regexp_count(text, F.lit(r"(?<!\S)#[\p{L}\p{N}]"))).otherwise(0).alias("tags"),
         F.regexp_count(text, F.lit(r"[,;|•·/+>›»–—]|\s-\s")).alias("separators"),
         (rest.rlike(r"[.!?…。,;:][\s\"”»’)\]*_]*$") & rest.rlike(r"\p{L}{2}")).alias("ended"),
+        F.coalesce(F.array_contains(recurring, segment["hash"]), F.lit(False)).alias("recurs"),
     )
 
     def decide(m: Column) -> Column:
@@ -149,6 +179,7 @@ def _judge(segment: Column, regular: Column) -> Column:
         prose = (m["n"] >= 15) & (m["function"] >= 0.22)
         return (
             F.when(m["linked"] & ~(sentence & (m["n"] >= 8) & (m["function"] >= 0.15)), True)
+            .when(m["recurs"] & (m["function"] < KEYWORDS), True)
             .when((m["tags"] >= 3) & (m["tags"] >= 0.4 * m["n"]), True)
             .when((m["letters"] > 0.5) & (m["n"] >= 8), True)
             .when((m["repeated"] >= 0.25) & (m["n"] >= 4), True)
@@ -165,16 +196,17 @@ def _judge(segment: Column, regular: Column) -> Column:
 def stuffing_shares(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_links, share: the share of each text's characters that lies in stuffed segments."""
 
-    def segment(s: Column, regular: Column) -> Column:
-        return F.struct(F.length(s["text"]).alias("chars"), _judge(s, regular).alias("stuffed"), s["links"].alias("links"))
+    def segment(s: Column, regular: Column, recurring: Column) -> Column:
+        return F.struct(F.length(s["text"]).alias("chars"), _judge(s, regular, recurring).alias("stuffed"), s["links"].alias("links"))
 
     def page(segments: Column) -> Column:
         words = F.flatten(F.array_distinct(F.transform(segments, lambda s: s["words"])))
+        n_words = F.aggregate(segments, F.lit(0), lambda n, s: n + F.size(s["words"]))
+        measured = F.struct(regular_terms(words).alias("regular"), _recurring(segments).alias("recurring"))
         return let(
-            words,
-            lambda w: let(
-                regular_terms(w),
-                lambda regular: F.struct(F.size(w).alias("n_words"), F.transform(segments, lambda s: segment(s, regular)).alias("segments")),
+            measured,
+            lambda m: F.struct(
+                n_words.alias("n_words"), F.transform(segments, lambda s: segment(s, m["regular"], m["recurring"])).alias("segments")
             ),
         )
 

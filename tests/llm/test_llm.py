@@ -146,6 +146,19 @@ def test_stuffing(spark):
     assert flagged == set(range(len(genuine), len(genuine) + len(stuffed))), got
 
 
+def test_repeated_segments(spark):
+    keywords = "Order our garden furniture catalogue today for free delivery."
+    prose = "The villain, if he is one, waits for the night until the lantern gives way. Nobody in the town speaks of the orchard. "
+    lines = ["The miller went down to the sea at dawn,", "The sail that she carried was drawn and gone,", "A lantern was hung at the end of the lane,", "The ferryman waited a week for the rain,", "And nobody came to the harbour again,"]
+    verse = "\n".join(f"{line}\nRow, row for Avalon, and never look behind." for line in lines)
+    genuine = [verse, prose * 400, prose + keywords, "buy cheap books"]
+    stuffed = ["buy cheap books\n" * 500, (keywords + "\n") * 300, (keywords + " ") * 300, (keywords + "\n") * 20 + prose * 3]
+    frame = spark.createDataFrame(list(enumerate(genuine + stuffed)), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in stuffing.stuffed_pages(frame).collect()} == set(range(len(genuine), len(genuine) + len(stuffed)))
+    got = {r["doc_id"]: r for r in stuffing.stuffing_shares(frame).collect()}
+    assert got[len(genuine)]["n_words"] == 1500 and got[len(genuine) + 1]["share"] == 1 and got[0]["share"] == 0
+
+
 def test_mixing(spark):
     rng = random.Random(2)
     docs = [(i, " ".join(rng.choice(["sea", "bee", "key", "map"]) for _ in range(rng.randrange(5, 40))), s, 7) for i, s in enumerate(["a"] * 300 + ["b"] * 60 + ["other"] * 20 + [None] * 10)]
