@@ -77,13 +77,13 @@ def title_tokens(title: str | None, subtitle: str | None) -> list[str]:
 _FOLD = lambda words: tuple(w.replace("rn", "m").replace("vv", "w") for w in words)
 
 
-def title_key(tokens: list[str]) -> tuple[str, str, str] | None:
-    """(base, work, subtitle): the title's words; volume and kind of derivation; null without words."""
+def title_key(tokens: list[str]) -> tuple[str, str, str, str] | None:
+    """(base, work, subtitle, head): the title's words; volume and kind of derivation; the base's first part; null without words."""
     parts: list[list[str]] = [[]]
     for t in tokens:
         parts.append([]) if t == "|" else parts[-1].append(t)
     parts = [p for p in parts if p]
-    volume, kinds, subtitles, main = "", [], [], []
+    volume, kinds, subtitles, main, head = "", [], [], [], ""
 
     def without_volume(words: list[str]) -> list[str]:
         nonlocal volume
@@ -126,8 +126,9 @@ def title_key(tokens: list[str]) -> tuple[str, str, str] | None:
             subtitles.append(" ".join(rest))
         else:
             main += bare(rest)
+            head = head or "".join(main)
     key = "".join(main)
-    return (key, "/".join([volume, "+".join(sorted(set(kinds)))]).strip("/"), " ".join(subtitles)) if key else None
+    return (key, "/".join([volume, "+".join(sorted(set(kinds)))]).strip("/"), " ".join(subtitles), head) if key else None
 
 
 def year_of(text: str | None) -> int | None:
@@ -196,7 +197,8 @@ def corrected_words(rows: DataFrame) -> DataFrame:
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """``rows`` with key, work (volume, derivation), subtitle and authors (family and initial of the given name)."""
+    """``rows`` with key, work (volume, derivation), subtitle, head (the key less an unlisted subtitle, null if it has none) and
+    authors (family and initial of the given name)."""
     fixes = corrected_words(rows)
     # Only rows that hold a misspelt word are taken apart.
     wrong = (
@@ -206,12 +208,12 @@ def keyed(rows: DataFrame) -> DataFrame:
     fixed = rows.join(wrong, "record_id", "left")
     tokens = F.transform("tokens", lambda w, i: F.coalesce(F.try_element_at(F.col("fixes"), i), w))
 
-    @F.pandas_udf("key string, work string, subtitle string")
+    @F.pandas_udf("key string, work string, subtitle string, head string")
     def key(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([title_key(list(t)) or (None, None, None) for t in batch], columns=["key", "work", "subtitle"])
+            yield pd.DataFrame([title_key(list(t)) or (None,) * 4 for t in batch], columns=["key", "work", "subtitle", "head"])
 
-    titled = fixed.withColumn("k", key.asNondeterministic()(tokens)).select("*", "k.key", "k.work", "k.subtitle").drop("k", "tokens", "fixes").where("key is not null")
+    titled = fixed.withColumn("k", key.asNondeterministic()(tokens)).select("*", "k.key", "k.work", "k.subtitle", F.expr("nullif(k.head, k.key)").alias("head")).drop("k", "tokens", "fixes").where("key is not null")
 
     spelled = rows.select(F.explode("author_names").alias("name")).distinct()
     parsed = names._with_family(cut_lineage(names._oriented(names.parse_names(spelled))))
@@ -237,8 +239,10 @@ def _votes() -> list[Column]:
 
     words = lambda c: F.when(F.length(c) > 0, c)
     sub_a, sub_b = words(a("subtitle")), words(b("subtitle"))
+    added = F.coalesce(a("head") == b("key"), F.lit(False)) | F.coalesce(b("head") == a("key"), F.lit(False))
     return [
-        F.when(a("key") == b("key"), 1).otherwise(-1).alias("title"),
+        # A subtitle that only one side has is no contradiction.
+        F.when(a("key") == b("key"), 1).when(added, 0).otherwise(-1).alias("title"),
         F.when(a("work") != b("work"), -1).when(F.length(a("work")) > 0, 1).otherwise(0).alias("work"),
         lists("authors", True).alias("authors"),
         lists("isbns", False).alias("isbns"),
@@ -254,22 +258,26 @@ def candidates(rows: DataFrame) -> DataFrame:
     """record_a < record_b and their votes: pairs of different sources that share an ISBN, or a title and an author or year.
 
     Where one of the two has no authors a publisher brings them together as well, and the title alone does so where most
-    records of that title name one author, so that no common title forms a block.
+    records of that title name one author, so that no common title forms a block. A title with a subtitle outside the
+    templates meets the same title without one where an author and the year agree.
     """
     # What is only compared for equality travels as digests and numbers.
     rows = rows.withColumns({
-        "key": F.unhex(F.md5("key")), "isbns": F.transform("isbns", lambda c: c.cast("long")), "authors": F.transform("authors", lambda a: F.xxhash64(a)),
+        "key": F.unhex(F.md5("key")), "head": F.unhex(F.md5("head")), "isbns": F.transform("isbns", lambda c: c.cast("long")), "authors": F.transform("authors", lambda a: F.xxhash64(a)),
     })
     side = lambda frame, name: frame.select(*[F.col(c) for c in frame.columns]).alias(name)
     by = lambda frame, what, column: frame.withColumn("by", F.unhex(F.md5(F.concat(F.lit(what), F.hex("key"), column.cast("string")))))
     dated, housed = rows.where("year is not null"), rows.where("publisher is not null")
     silent = rows.where(F.size("authors") == 0)
     few = rows.join(_one_work(rows), "key", "left_semi")
-    authored = by(rows.withColumn("each", F.explode("authors")), "author", F.col("each")).drop("each")
+    each = rows.withColumn("each", F.explode("authors"))
+    authored = by(each, "author", F.col("each")).drop("each")
+    bare = by(each.where("head is not null").withColumns({"full": F.col("key"), "key": F.col("head")}), "author", F.col("each"))
+    bare = bare.withColumn("key", F.col("full")).drop("full", "each").select(*authored.columns)
     numbered = rows.withColumn("each", F.explode("isbns")).withColumn("by", F.unhex(F.md5(F.col("each").cast("string")))).drop("each")
     near = by(dated.withColumn("each", F.explode(F.array(*[F.col("year") + d for d in (-1, 0, 1)]))), "year", F.col("each").cast("string")).drop("each")
     joins = [
-        (authored, authored),
+        (authored.unionByName(bare), authored),
         (numbered, numbered),
         (near, by(dated, "year", F.col("year").cast("string"))),
         (by(silent.where("publisher is not null"), "house", F.col("publisher")), by(housed, "house", F.col("publisher"))),
@@ -279,7 +287,8 @@ def candidates(rows: DataFrame) -> DataFrame:
     def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         met = side(left, "a").join(side(right, "b"), (F.col("a.by") == F.col("b.by")) & (F.col("a.source") != F.col("b.source")))
         ids = [F.least("a.record_id", "b.record_id").alias("record_a"), F.greatest("a.record_id", "b.record_id").alias("record_b")]
-        return met.where("a.record_id <> b.record_id").select(*ids, *_votes())
+        close = "a.key = b.key or abs(a.year - b.year) <= 1 or arrays_overlap(a.isbns, b.isbns)"
+        return met.where("a.record_id <> b.record_id").where(close).select(*ids, *_votes())
 
     found = pairs(*joins[0])
     for left, right in joins[1:]:
@@ -385,8 +394,12 @@ def link(records: DataFrame) -> DataFrame:
 
 
 def matches(records: DataFrame) -> DataFrame:
-    """record_a, record_b, confidence of the candidates the model takes for matches, unless title, volume or authors contradict."""
-    sure = (F.col("confidence") >= THRESHOLD) & (F.col("authors") >= 0) & (F.col("work") >= 0) & (F.col("title") > 0)
+    """record_a, record_b, confidence of the candidates the model takes for matches, unless title, volume or authors contradict.
+
+    Titles of which one has a subtitle more match only if an ISBN, or an author and the year, agree.
+    """
+    titled = (F.col("title") > 0) | (F.col("title") == 0) & ((F.col("isbns") > 0) | (F.col("authors") > 0) & (F.col("year") > 0))
+    sure = (F.col("confidence") >= THRESHOLD) & (F.col("authors") >= 0) & (F.col("work") >= 0) & titled
     return link(records).where(sure).select("record_a", "record_b", "confidence")
 
 

@@ -76,6 +76,16 @@ def test_linkage(spark):
     assert linkage.matches(spark.createDataFrame([], RECORD)).count() == 0
 
 
+def test_linkage_of_added_subtitles(spark):
+    rows = [
+        record(1, "a", "The Amber Railway"), record(2, "b", "The Amber Railway: Iron across the Moor"), record(3, "c", "The Amber Railway", year="1950"), record(4, "c", "The Amber Railway: Rails by Night"),
+        record(5, "c", "The Amber Railway, Part 2: Iron across the Moor"), record(6, "c", "The Amber Railway: Study Guide"), record(7, "b", "The Amber Railway: Iron across the Moor", "Otto Klein"),
+        record(8, "a", "Winter Bells", None, None, "9780306406157"), record(9, "b", "Winter Bells", None, None, "9780306406157", subtitle="Letters to Nobody"), record(10, "c", "Summer", None, None, "9780306406157"),
+    ] + [record(100 + i, "ab"[i % 2], f"Number {chr(97 + i // 2)} of {chr(97 + i // 2) * 5}", "Ana Vega", str(1900 + i // 2)) for i in range(40)]
+    got = {(r["record_a"], r["record_b"]) for r in linkage.matches(spark.createDataFrame(rows, RECORD)).collect() if r["record_a"] < 100}
+    assert {(1, 2), (1, 4), (8, 9)} <= got and not got - {(1, 2), (1, 3), (1, 4), (8, 9)}
+
+
 def test_label_model_learns_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.6
