@@ -2,7 +2,7 @@
 
 Titles are cleaned of what editions add (carriers, series, inverted articles), misspelt words are led to the common word
 near them, and what makes another work of it (a volume, a sequel, a guide, a retelling) becomes part of the title's key.
-Records that share a key and an author, an ISBN, or, where authors are missing, another attribute are candidates. On
+Records that share a key and an author, an ISBN or, where authors are missing, another attribute are candidates. On
 each candidate a set of matching functions votes yes, no or nothing. A generative label model learns from the votes
 alone how often each function is right in either class, by expectation maximisation over the distinct vote patterns,
 merges functions whose errors are correlated into one factor, and gives each pattern a posterior.
@@ -255,11 +255,12 @@ def _votes() -> list[Column]:
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """record_a < record_b and their votes: pairs of different sources that share an ISBN, or a title and an author or year.
+    """record_a < record_b and their votes: pairs of different sources that share a title and an ISBN, author or year.
 
     Where one of the two has no authors a publisher brings them together as well, and the title alone does so where most
     records of that title name one author, so that no common title forms a block. A title with a subtitle outside the
-    templates meets the same title without one where an author and the year agree.
+    templates meets the same title without one where an ISBN, or an author and the year, agree. An ISBN alone forms no pair,
+    so a placeholder that many records hold does not become a block.
     """
     # What is only compared for equality travels as digests and numbers.
     rows = rows.withColumns({
@@ -270,15 +271,18 @@ def candidates(rows: DataFrame) -> DataFrame:
     dated, housed = rows.where("year is not null"), rows.where("publisher is not null")
     silent = rows.where(F.size("authors") == 0)
     few = rows.join(_one_work(rows), "key", "left_semi")
-    each = rows.withColumn("each", F.explode("authors"))
-    authored = by(each, "author", F.col("each")).drop("each")
-    bare = by(each.where("head is not null").withColumns({"full": F.col("key"), "key": F.col("head")}), "author", F.col("each"))
-    bare = bare.withColumn("key", F.col("full")).drop("full", "each").select(*authored.columns)
-    numbered = rows.withColumn("each", F.explode("isbns")).withColumn("by", F.unhex(F.md5(F.col("each").cast("string")))).drop("each")
+
+    def listed(what: str, column: str) -> tuple[DataFrame, DataFrame]:
+        """Rows by title and each member of a list: those of a side with, and of a side without the titles less their subtitles."""
+        each = rows.withColumn("each", F.explode(column))
+        full = by(each, what, F.col("each")).drop("each")
+        bare = by(each.where("head is not null").withColumns({"full": F.col("key"), "key": F.col("head")}), what, F.col("each"))
+        return full.unionByName(bare.withColumn("key", F.col("full")).drop("full", "each")), full
+
     near = by(dated.withColumn("each", F.explode(F.array(*[F.col("year") + d for d in (-1, 0, 1)]))), "year", F.col("each").cast("string")).drop("each")
     joins = [
-        (authored.unionByName(bare), authored),
-        (numbered, numbered),
+        listed("author", "authors"),
+        listed("isbn", "isbns"),
         (near, by(dated, "year", F.col("year").cast("string"))),
         (by(silent.where("publisher is not null"), "house", F.col("publisher")), by(housed, "house", F.col("publisher"))),
         (by(few.where(F.size("authors") == 0), "few", F.lit("")), by(few, "few", F.lit(""))),

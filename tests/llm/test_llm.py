@@ -86,6 +86,13 @@ def test_linkage_of_added_subtitles(spark):
     assert {(1, 2), (1, 4), (8, 9)} <= got and not got - {(1, 2), (1, 3), (1, 4), (8, 9)}
 
 
+def test_placeholder_isbn_forms_no_block(spark):
+    rows = [record(i, "ab"[i % 2], f"Number {chr(97 + i // 26)}{chr(97 + i % 26)} {chr(97 + i % 26) * 5}", f"Author{chr(97 + i % 26)}, Ana", str(1500 + 3 * i), "9780306406157") for i in range(60)]
+    rows += [record(100, "a", "Winter Bells", None, None, "9780306406157"), record(101, "b", "Winter Bells", None, None, "9780306406157")]
+    found = linkage.candidates(linkage.keyed(linkage.prepare(spark.createDataFrame(rows, RECORD)).localCheckpoint()).localCheckpoint())
+    assert [(r["record_a"], r["record_b"]) for r in found.collect()] == [(100, 101)]
+
+
 def test_label_model_learns_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.6
