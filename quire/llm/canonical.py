@@ -165,14 +165,14 @@ class Trie:
 
     def search(self, text: str) -> list[tuple[int, int]]:
         """All (distance, term) within the distance that the text's length allows, nearest first."""
-        if text in self.paths:
-            term, penalty = self.paths[text]
-            return [(penalty, term)]
         if text in self.memo:
             return self.memo[text]
         limit, n = allowed_distance(len(text)), len(text)
         far = limit + 1
         best: dict[int, int] = {}
+        if text in self.paths:
+            term, penalty = self.paths[text]
+            best[term] = penalty
         first = [j if j <= limit else far for j in range(n + 1)]
         stack = [(self.root, "", 0, first, None)] if limit else []
         while stack:
@@ -228,6 +228,8 @@ def resolve(trie: Trie, entry: str) -> list[int]:
 
     def near(text: str, within: int = 2) -> int | None:
         form = comparable(text)
+        if form in trie.paths:
+            return trie.paths[form][0]
         hits = trie.search(form) if form else []
         return hits[0][1] if hits and hits[0][0] <= within else None
 
@@ -252,9 +254,12 @@ def resolve(trie: Trie, entry: str) -> list[int]:
         if hit is None and "," in piece:
             head, _, tail = piece.partition(",")
             hit = name(f"{tail} {head}")
-            # "Fairs, science" turns a name around; only added forms and places leave the first part as it stands.
-            turned = hit is not None or comparable(tail) in trie.vocabulary
-            parts = [hit] if turned else [name(p, 1) for p in piece.split(",")]
+            # "Fairs, science" turns a name around; only added forms and places leave the first part as it stands, and whole
+            # listed terms are each named by themselves.
+            sides = piece.split(",")
+            listed = all(trie.paths.get(comparable(p), (0, 9))[1] == 0 for p in sides)
+            turned = hit is not None or comparable(tail) in trie.vocabulary and not listed
+            parts = [hit] if turned else [name(p, 1) for p in sides]
         else:
             parts = [hit]
         found += [p for p in parts if p is not None and p not in found]
