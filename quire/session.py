@@ -36,10 +36,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder takes its place.
+    Only on one machine (a local master, as in tests) may the setting be absent: a temporary folder then takes its place.
+    On a cluster its absence is an error, since executors do not see the driver's folders.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = os.path.join(tempfile.gettempdir(), f"quire-checkpoints-{os.getpid()}")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
