@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import names
+from quire.operators import skew
 from quire.session import check_columns, cut_lineage
 
-FUNCTIONS = ("title", "work", "authors", "isbns", "year", "publisher", "pages", "subtitle", "language")
+FUNCTIONS = ("title", "volume", "derived", "authors", "isbns", "year", "publisher", "pages", "subtitle", "language")
 #: Confidence from which a candidate is a match.
 THRESHOLD = 0.5
 #: Functions whose residual correlation exceeds this are modelled together.
@@ -77,8 +78,9 @@ def title_tokens(title: str | None, subtitle: str | None) -> list[str]:
 _FOLD = lambda words: tuple(w.replace("rn", "m").replace("vv", "w") for w in words)
 
 
-def title_key(tokens: list[str]) -> tuple[str, str, str, str] | None:
-    """(base, work, subtitle, head): the title's words; volume and kind of derivation; the base's first part; null without words."""
+def title_key(tokens: list[str]) -> tuple[str, str, str, str, str] | None:
+    """(base, volume, derived, subtitle, head): the title's words; its volume; what it is derived as; the base's first part;
+    null without words."""
     parts: list[list[str]] = [[]]
     for t in tokens:
         parts.append([]) if t == "|" else parts[-1].append(t)
@@ -128,7 +130,7 @@ def title_key(tokens: list[str]) -> tuple[str, str, str, str] | None:
             main += bare(rest)
             head = head or "".join(main)
     key = "".join(main)
-    return (key, "/".join([volume, "+".join(sorted(set(kinds)))]).strip("/"), " ".join(subtitles), head) if key else None
+    return (key, volume, "+".join(sorted(set(kinds))), " ".join(subtitles), head) if key else None
 
 
 def year_of(text: str | None) -> int | None:
@@ -187,7 +189,7 @@ def corrected_words(rows: DataFrame) -> DataFrame:
     """word, right: misspelt title words and the commoner word within two edits (one for short ones)."""
     words = rows.select(F.explode("tokens").alias("word")).where(F.length("word") >= 4).groupBy("word").agg(F.count("*").alias("n"))
     words = cut_lineage(words.where(~F.col("word").rlike(r"\d")))
-    near = names.towards_common(names.segment_join(words, "word", 2, (), ("n",)), (), F.expr(names.COMMONER)).where(
+    near = names.towards_common(names.segment_join(words, "word", (), ("n",), 6), (), F.expr(names.COMMONER)).where(
         "(from_n <= 3 or to_n >= 10 * from_n) and (length(`from`) >= 5 or to_n >= 10 * from_n) and (distance <= 1 or length(`from`) >= 7"
         " or (length(`from`) = 6 and to_n >= 20 * from_n) or array_sort(split(`from`, '')) = array_sort(split(`to`, '')))"
     )
@@ -197,7 +199,7 @@ def corrected_words(rows: DataFrame) -> DataFrame:
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """``rows`` with key, work (volume, derivation), subtitle, head (the key less an unlisted subtitle, null if it has none) and
+    """``rows`` with key, volume, derived (as what), subtitle, head (the key less an unlisted subtitle, null if it has none) and
     authors (family and initial of the given name)."""
     fixes = corrected_words(rows)
     # Only rows that hold a misspelt word are taken apart.
@@ -208,12 +210,13 @@ def keyed(rows: DataFrame) -> DataFrame:
     fixed = rows.join(wrong, "record_id", "left")
     tokens = F.transform("tokens", lambda w, i: F.coalesce(F.try_element_at(F.col("fixes"), i), w))
 
-    @F.pandas_udf("key string, work string, subtitle string, head string")
+    @F.pandas_udf("key string, volume string, derived string, subtitle string, head string")
     def key(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([title_key(list(t)) or (None,) * 4 for t in batch], columns=["key", "work", "subtitle", "head"])
+            yield pd.DataFrame([title_key(list(t)) or (None,) * 5 for t in batch], columns=["key", "volume", "derived", "subtitle", "head"])
 
-    titled = fixed.withColumn("k", key.asNondeterministic()(tokens)).select("*", "k.key", "k.work", "k.subtitle", F.expr("nullif(k.head, k.key)").alias("head")).drop("k", "tokens", "fixes").where("key is not null")
+    titled = fixed.withColumn("k", key.asNondeterministic()(tokens))
+    titled = titled.select("*", "k.key", "k.volume", "k.derived", "k.subtitle", F.expr("nullif(k.head, k.key)").alias("head")).drop("k", "tokens", "fixes").where("key is not null")
 
     spelled = rows.select(F.explode("author_names").alias("name")).distinct()
     parsed = names._with_family(cut_lineage(names._oriented(names.parse_names(spelled))))
@@ -240,10 +243,12 @@ def _votes() -> list[Column]:
     words = lambda c: F.when(F.length(c) > 0, c)
     sub_a, sub_b = words(a("subtitle")), words(b("subtitle"))
     added = F.coalesce(a("head") == b("key"), F.lit(False)) | F.coalesce(b("head") == a("key"), F.lit(False))
+    marked = (a("volume") == b("volume")) & (a("derived") == b("derived"))
     return [
-        # A subtitle that only one side has is no contradiction.
-        F.when(a("key") == b("key"), 1).when(added, 0).otherwise(-1).alias("title"),
-        F.when(a("work") != b("work"), -1).when(F.length(a("work")) > 0, 1).otherwise(0).alias("work"),
+        # The whole title; a subtitle that only one side has is no contradiction.
+        F.when((a("key") == b("key")) & marked, 1).when(added & marked, 0).otherwise(-1).alias("title"),
+        F.when(a("volume") == b("volume"), 1).otherwise(-1).alias("volume"),
+        F.when(a("derived") == b("derived"), 1).otherwise(-1).alias("derived"),
         lists("authors", True).alias("authors"),
         lists("isbns", False).alias("isbns"),
         scalar("year", F.abs(a("year") - b("year")) <= 1).alias("year"),
@@ -254,83 +259,116 @@ def _votes() -> list[Column]:
     ]
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """record_a < record_b and their votes: pairs of different sources that share a title and an ISBN, author or year.
+def _meetings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(probe, index): the keys under which a record asks for others and is found by others, as hashes.
 
-    Where one of the two has no authors a publisher brings them together as well, and the title alone does so where most
-    records of that title name one author, so that no common title forms a block. A title with a subtitle outside the
-    templates meets the same title without one where an ISBN, or an author and the year, agree. An ISBN alone forms no pair,
-    so a placeholder that many records hold does not become a block.
+    ``one_way`` keys are asked by one side only. Records meet under a title and an author, ISBN, year (of the year before
+    or after as well) or publisher; where one has no author, under the title alone if most records of the title name one
+    author; and under a title of which one has a subtitle more.
     """
-    # What is only compared for equality travels as digests and numbers.
-    rows = rows.withColumns({
-        "key": F.unhex(F.md5("key")), "head": F.unhex(F.md5("head")), "isbns": F.transform("isbns", lambda c: c.cast("long")), "authors": F.transform("authors", lambda a: F.xxhash64(a)),
-    })
-    side = lambda frame, name: frame.select(*[F.col(c) for c in frame.columns]).alias(name)
-    by = lambda frame, what, column: frame.withColumn("by", F.unhex(F.md5(F.concat(F.lit(what), F.hex("key"), column.cast("string")))))
-    dated, housed = rows.where("year is not null"), rows.where("publisher is not null")
-    silent = rows.where(F.size("authors") == 0)
-    few = rows.join(_one_work(rows), "key", "left_semi")
-
-    def listed(what: str, column: str) -> tuple[DataFrame, DataFrame]:
-        """Rows by title and each member of a list: those of a side with, and of a side without the titles less their subtitles."""
-        each = rows.withColumn("each", F.explode(column))
-        full = by(each, what, F.col("each")).drop("each")
-        bare = by(each.where("head is not null").withColumns({"full": F.col("key"), "key": F.col("head")}), what, F.col("each"))
-        return full.unionByName(bare.withColumn("key", F.col("full")).drop("full", "each")), full
-
-    near = by(dated.withColumn("each", F.explode(F.array(*[F.col("year") + d for d in (-1, 0, 1)]))), "year", F.col("each").cast("string")).drop("each")
-    joins = [
-        listed("author", "authors"),
-        listed("isbn", "isbns"),
-        (near, by(dated, "year", F.col("year").cast("string"))),
-        (by(silent.where("publisher is not null"), "house", F.col("publisher")), by(housed, "house", F.col("publisher"))),
-        (by(few.where(F.size("authors") == 0), "few", F.lit("")), by(few, "few", F.lit(""))),
-    ]
+    key = lambda what, *parts: F.xxhash64(F.lit(what), *parts)
+    each = lambda what, title, items: F.transform(items, lambda x: key(what, F.col(title), x.cast("string")))
+    none = F.array().cast("array<bigint>")
+    when = lambda test, found: F.when(test, found).otherwise(none)
+    silent, dated, housed = F.size("authors") == 0, F.col("year").isNotNull(), F.col("publisher").isNotNull()
+    marked = rows.join(_one_work(rows), "key", "left").withColumn("few", F.coalesce("few", F.lit(False)))
+    both = F.concat(each("author", "key", F.col("authors")), each("isbn", "key", F.col("isbns")))
+    house = F.array(key("house", F.col("key"), F.col("publisher")))
+    few = F.array(key("few", F.col("key")))
+    near = F.array(*[key("year", F.col("key"), F.col("year") + d) for d in (-1, 0, 1)])
+    bare = when(F.col("head").isNotNull(), F.concat(each("author", "head", F.col("authors")), each("isbn", "head", F.col("isbns"))))
+    two_way = F.concat(both, when(dated, near))
+    one_way = F.concat(bare, when(silent & housed, house), when(silent & F.col("few"), few))
+    found = F.concat(both, when(dated, F.array(key("year", F.col("key"), F.col("year")))), when(housed, house), when(F.col("few"), few))
+    made = cut_lineage(marked.select("record_id", "source", two_way.alias("two_way"), one_way.alias("one_way"), found.alias("found")))
+    asks = F.concat(F.transform("two_way", lambda k: F.struct(k.alias("by"), F.lit(False).alias("one_way"))), F.transform("one_way", lambda k: F.struct(k.alias("by"), F.lit(True).alias("one_way"))))
+    probe = made.select(F.col("record_id").alias("a"), F.col("source").alias("source_a"), F.explode(F.array_distinct(asks)).alias("k")).select("a", "source_a", "k.*")
+    index = made.select(F.col("record_id").alias("b"), F.col("source").alias("source_b"), F.explode(F.array_distinct("found")).alias("by"))
+    return probe, index
+
+
+def _contrasts(rows: DataFrame) -> DataFrame:
+    """record_a < record_b: each record beside the first one of a group it belongs to: the records of an ISBN, of a title,
+    of an author and a title's first letters. One pair per record and group, however large the group is.
+
+    Most of these are different works that have something in common, which the functions must tell from matches.
+    """
+    hashed = lambda what, *parts: F.xxhash64(F.lit(what), *parts)
+    groups = F.concat(
+        F.transform("isbns", lambda c: hashed("isbn", c.cast("string"))),
+        F.array(hashed("title", F.col("key"))),
+        F.transform("authors", lambda a: hashed("author", a, F.substring("key", 1, 4))),
+    )
+    member = rows.select("record_id", "source", F.explode(groups).alias("by"))
+    # The hub of a group, and for records of the hub's own source the first one of another source.
+    first = member.groupBy("by").agg(F.min(F.struct("source", "record_id")).alias("low"), F.max(F.struct("source", "record_id")).alias("high")).where("low.source <> high.source")
+    met = member.join(first, "by").select("record_id", F.when(F.col("source") == F.col("low.source"), F.col("high.record_id")).otherwise(F.col("low.record_id")).alias("hub"))
+    return met.select(F.least("record_id", "hub").alias("record_a"), F.greatest("record_id", "hub").alias("record_b"))
 
-    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        met = side(left, "a").join(side(right, "b"), (F.col("a.by") == F.col("b.by")) & (F.col("a.source") != F.col("b.source")))
-        ids = [F.least("a.record_id", "b.record_id").alias("record_a"), F.greatest("a.record_id", "b.record_id").alias("record_b")]
-        close = "a.key = b.key or abs(a.year - b.year) <= 1 or arrays_overlap(a.isbns, b.isbns)"
-        return met.where("a.record_id <> b.record_id").where(close).select(*ids, *_votes())
 
-    found = pairs(*joins[0])
-    for left, right in joins[1:]:
-        found = found.unionByName(pairs(left, right))
-    return found.distinct()
+def candidates(rows: DataFrame) -> DataFrame:
+    """record_a < record_b and their votes: the pairs of different sources that meet under a key, and contrasts to them.
+
+    Pairs are formed from ids and hashed keys alone, keys of many records are spread over tasks, and what is known about the
+    records joins each distinct pair once. An ISBN alone forms no block, so a placeholder that many records hold costs one
+    contrast per record.
+    """
+    probe, index = _meetings(rows.select("record_id", "source", "key", "head", "year", "isbns", "authors", "publisher"))
+    met = skew.salted_join(probe, index, ["by"]).where("source_a <> source_b and a <> b and (one_way or a < b)")
+    ids = met.select(F.least("a", "b").alias("record_a"), F.greatest("a", "b").alias("record_b")).unionByName(_contrasts(rows)).distinct()
+    # What is only compared for equality travels as numbers.
+    known = rows.select(
+        "record_id", *[F.xxhash64(c).alias(c) if c == "key" else F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in ("key", "head", "publisher")], "volume", "derived",
+        F.transform("authors", lambda a: F.xxhash64(a)).alias("authors"), F.transform("isbns", lambda c: c.cast("long")).alias("isbns"), "year", "pages", "subtitle", "languages",
+    )
+    side = lambda name: known.select(F.col("record_id").alias(f"record_{name}"), F.struct(*[c for c in known.columns if c != "record_id"]).alias(name))
+    return ids.join(side("a"), "record_a").join(side("b"), "record_b").select("record_a", "record_b", *_votes())
 
 
 def _one_work(rows: DataFrame) -> DataFrame:
-    """Keys that no two works contend for: one author is named by most of the records that name any."""
-    named = rows.where(F.size("authors") > 0)
-    leading = named.select("key", F.explode("authors").alias("author")).groupBy("key", "author").agg(F.count("*").alias("n"))
+    """key, few: the titles of author-less records that no two works contend for: one author is named by most records that name any."""
+    asked = rows.where(F.size("authors") == 0).select("key").distinct()
+    of = rows.join(asked, "key", "left_semi")
+    leading = of.select("key", F.explode("authors").alias("author")).groupBy("key", "author").agg(F.count("*").alias("n"))
     leading = leading.groupBy("key").agg(F.max("n").alias("most"))
-    counts = rows.groupBy("key").agg(F.count_if(F.size("authors") > 0).alias("named"))
-    return counts.join(leading, "key", "left").where("named = 0 or most >= 0.7 * named").select("key")
+    counts = of.groupBy("key").agg(F.count_if(F.size("authors") > 0).alias("named"))
+    return counts.join(leading, "key", "left").where("named = 0 or most >= 0.7 * named").select("key", F.lit(True).alias("few"))
 
 
 class LabelModel:
-    """Two classes, conditionally independent factors of one or two functions; fitted to vote patterns and their counts.
+    """One class of same pairs and one or two of different ones (records differ in more ways than one: other works, other
+    parts of a work); in each class, conditionally independent factors of one or two functions. Fitted to vote patterns and
+    their counts by expectation maximisation; how many classes there are is told by the Bayesian information criterion.
 
-    An abstention says nothing in either class: a factor counts where it votes, and a pair of correlated functions is one
+    An abstention says nothing in any class: a factor counts where it votes, and a pair of correlated functions is one
     factor where both vote. ``PRIOR_VOTES`` pseudo-votes lean each function towards being right.
     """
 
-    PRIOR_VOTES = 20.0
+    PRIOR_VOTES = 5.0
 
     def __init__(self, patterns: np.ndarray, counts: np.ndarray) -> None:
         self.patterns, self.counts = patterns, counts.astype(float)
-        self.pairs: list[tuple[int, int]] = []
-        self.fit()
-        self.pairs = self._correlated()
-        if self.pairs:
-            self.fit()
-
-    def _factors(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        best = min((self._settle(different) for different in (1, 2)), key=lambda fit: fit[0])
+        _, self.classes, self.pairs = best
+        self.posterior = self.classes[:, 0]
+
+    def _settle(self, different: int) -> tuple[float, np.ndarray, list[tuple[int, int]]]:
+        """(criterion, class probabilities per pattern, correlated pairs) of a model of so many classes of different pairs."""
+        # A start by majority vote tells same from different; the first function splits the different ones.
+        same = 1 / (1 + np.exp(-1.5 * self.patterns.sum(axis=1)))
+        split = np.where(self.patterns[:, 0] < 0, 0.9, 0.1)
+        start = np.stack([same, 1 - same], axis=1) if different == 1 else np.stack([same, (1 - same) * split, (1 - same) * (1 - split)], axis=1)
+        classes, likelihood, free = self._fit(start, [])
+        pairs = self._correlated(classes)
+        if pairs:
+            classes, likelihood, free = self._fit(classes, pairs)
+        return free * math.log(max(self.counts.sum(), 2.0)) - 2 * likelihood, classes, pairs
+
+    def _factors(self, pairs: list[tuple[int, int]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(rows that vote, code of the vote, number of agreeing functions less disagreeing ones per code)."""
         out = []
-        paired = {i: pair for pair in self.pairs for i in pair}
-        for j, i in self.pairs:
+        paired = {i: pair for pair in pairs for i in pair}
+        for j, i in pairs:
             both = (self.patterns[:, i] != 0) & (self.patterns[:, j] != 0)
             out.append((both, (self.patterns[:, j] > 0) * 2 + (self.patterns[:, i] > 0), np.array([-2, 0, 0, 2])))
         for i in range(self.patterns.shape[1]):
@@ -341,31 +379,33 @@ class LabelModel:
             out.append((votes, (self.patterns[:, i] > 0).astype(int), np.array([-1, 1])))
         return out
 
-    def fit(self) -> None:
-        factors = self._factors()
-        # A start by majority vote tells the classes apart.
-        posterior = 1 / (1 + np.exp(-1.5 * self.patterns.sum(axis=1)))
+    def _fit(self, start: np.ndarray, pairs: list[tuple[int, int]]) -> tuple[np.ndarray, float, int]:
+        factors = self._factors(pairs)
+        classes, likelihood = start, 0.0
+        size = start.shape[1]
         for _ in range(ROUNDS):
-            prior = float((self.counts * posterior).sum() + 1) / (self.counts.sum() + 2)
-            odds = np.full(len(posterior), math.log(prior / (1 - prior)))
+            weight = self.counts[:, None] * classes
+            share = (weight.sum(axis=0) + 1) / (self.counts.sum() + size)
+            score = np.repeat(np.log(share)[None, :], len(self.patterns), axis=0)
             for votes, code, lean in factors:
-                weight = self.counts * votes
                 right = np.exp(0.7 * lean) / np.exp(0.7 * lean).sum()
-                wrong = right[::-1]
-                yes = np.bincount(code, weight * posterior, len(lean)) + self.PRIOR_VOTES * right
-                no = np.bincount(code, weight * (1 - posterior), len(lean)) + self.PRIOR_VOTES * wrong
-                odds += votes * (np.log(yes[code] / yes.sum()) - np.log(no[code] / no.sum()))
-            new = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-            if np.abs(new - posterior).max() < 1e-6:
-                posterior = new
+                for c in range(size):
+                    n = np.bincount(code, weight[:, c] * votes, len(lean)) + self.PRIOR_VOTES * (right if c == 0 else right[::-1])
+                    score[:, c] += votes * np.log(n / n.sum())[code]
+            top = score.max(axis=1, keepdims=True)
+            new = np.exp(np.maximum(score - top, -40))
+            likelihood = float((self.counts * (top[:, 0] + np.log(new.sum(axis=1)))).sum())
+            new = new / new.sum(axis=1, keepdims=True)
+            moved = np.abs(new - classes).max()
+            classes = new
+            if moved < 1e-6:
                 break
-            posterior = new
-        self.posterior = posterior
+        return classes, likelihood, size - 1 + size * sum(len(lean) - 1 for _, _, lean in factors)
 
-    def _correlated(self) -> list[tuple[int, int]]:
+    def _correlated(self, classes: np.ndarray) -> list[tuple[int, int]]:
         """Disjoint pairs of functions whose votes are correlated within the classes, strongest first."""
         found = []
-        for of_class in (self.posterior, 1 - self.posterior):
+        for of_class in classes.T:
             for i in range(self.patterns.shape[1]):
                 for j in range(i):
                     both = (self.patterns[:, i] != 0) & (self.patterns[:, j] != 0)
@@ -398,13 +438,8 @@ def link(records: DataFrame) -> DataFrame:
 
 
 def matches(records: DataFrame) -> DataFrame:
-    """record_a, record_b, confidence of the candidates the model takes for matches, unless title, volume or authors contradict.
-
-    Titles of which one has a subtitle more match only if an ISBN, or an author and the year, agree.
-    """
-    titled = (F.col("title") > 0) | (F.col("title") == 0) & ((F.col("isbns") > 0) | (F.col("authors") > 0) & (F.col("year") > 0))
-    sure = (F.col("confidence") >= THRESHOLD) & (F.col("authors") >= 0) & (F.col("work") >= 0) & titled
-    return link(records).where(sure).select("record_a", "record_b", "confidence")
+    """record_a, record_b, confidence of the candidates that the model takes for matches."""
+    return link(records).where(F.col("confidence") >= THRESHOLD).select("record_a", "record_b", "confidence")
 
 
 def open_records(raw_book: DataFrame, book_sources: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from quire.operators import skew
 from quire.session import cut_lineage
 
 #: Short forms of given names (fixed values): nickname -> formal names.
@@ -184,22 +184,39 @@ def segment_keys(text: Column, most: int, probe: bool) -> Column:
     return F.array_distinct(F.flatten(F.array(*[parts(length) for length in lengths])))
 
 
-def segment_join(texts: DataFrame, text: str, most: int, group: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs (group..., shorter, longer, distance) of different texts of one group within ``most`` edits, each with the
-    ``carry`` columns of both sides (shorter_x, longer_x); the rows of ``texts`` must be distinct.
+#: Texts of fewer letters are within one edit of each other or not near at all.
+LONG = 8
 
-    No pair is missed: ``most`` edits leave one of ``most`` + 1 segments intact.
+
+def segment_join(texts: DataFrame, text: str, group: tuple[str, ...] = (), carry: tuple[str, ...] = (), long: int = LONG) -> DataFrame:
+    """Pairs (group..., shorter, longer, distance) of different texts of one group within one edit or one swap of letters, or
+    within two edits where the longer has ``long`` letters or more, each with the ``carry`` columns of both sides
+    (shorter_x, longer_x); the rows of ``texts`` must be distinct.
+
+    No such pair is missed: k edits leave one of k + 1 segments intact. Short texts are cut into two segments only, since
+    thirds of them are single letters that half the vocabulary shares; a segment that many texts share is spread over tasks.
     """
     keep = list(group)
+    n = F.length(text)
 
     def side(name: str, probe: bool) -> DataFrame:
         own = [F.col(c).alias(f"{name}_{c}") for c in carry]
-        rows = texts.select(*keep, F.col(text).alias(name), *own, F.explode(segment_keys(F.col(text), most, probe)).alias("key"))
-        return rows.select(*[c for c in rows.columns if c != "key"], "key.length", "key.segment", "key.part")
-
-    met = side("shorter", False).join(side("longer", True), [*keep, "length", "segment", "part"]).where("shorter <> longer")
-    near = met.withColumn("distance", F.levenshtein("shorter", "longer", most)).where("distance >= 0")
-    return near.drop("length", "segment", "part").distinct()
+        cuts = lambda most: F.transform(segment_keys(F.col(text), most, probe), lambda k: F.xxhash64(F.lit(most), k["length"], k["segment"], k["part"], *[F.col(g) for g in group]))
+        none = F.array().cast("array<bigint>")
+        # One edit: both below ``long``; two edits: the longer has ``long`` letters, so the shorter at least two fewer.
+        letters = F.array_join(F.array_sort(F.split(F.col(text), "")), "")
+        swapped = F.array(F.xxhash64(F.lit(0), letters, *[F.col(g) for g in group]))
+        one = F.when(n < long, F.concat(cuts(1), swapped)).otherwise(none)
+        two = F.when(n >= (long if probe else long - 2), cuts(2)).otherwise(none)
+        return texts.select(*([] if probe else keep), F.col(text).alias(name), *own, *([F.col(g).alias(f"__{g}") for g in group] if probe else []), F.explode(F.concat(one, two)).alias("segment"))
+
+    same = reduce(lambda a, g: a & F.col(g).eqNullSafe(F.col(f"__{g}")), group, F.lit(True))
+    met = skew.salted_join(side("longer", True), side("shorter", False), ["segment"]).where(same & F.expr("shorter <> longer"))
+    letters = lambda c: F.array_sort(F.split(F.col(c), ""))
+    near = met.withColumn("distance", F.levenshtein("shorter", "longer", 2)).where(
+        (F.col("distance") >= 0) & ((F.col("distance") <= 1) | (F.length("longer") >= long) | (letters("shorter") == letters("longer")))
+    )
+    return near.drop("segment", *[f"__{g}" for g in group]).distinct()
 
 
 def towards_common(pairs: DataFrame, group: tuple[str, ...], more: Column) -> DataFrame:
@@ -232,7 +249,7 @@ def _oriented(forms: DataFrame) -> DataFrame:
 def _with_family(parsed: DataFrame) -> DataFrame:
     """``parsed`` with ``family``: rare surnames led to the common one within two edits (one for short ones)."""
     weights = cut_lineage(parsed.groupBy("kind", "surname").agg(F.count("*").alias("n")))
-    pairs = towards_common(segment_join(weights, "surname", 2, ("kind",), ("n",)), ("kind",), F.expr(COMMONER))
+    pairs = towards_common(segment_join(weights, "surname", ("kind",), ("n",)), ("kind",), F.expr(COMMONER))
     likely = pairs.where("(from_n <= 2 or to_n >= 4 * from_n) and (length(`from`) >= 8 or distance <= 1) and length(`from`) >= 4")
     best = likely.groupBy("kind", F.col("from").alias("surname")).agg(F.min_by("to", F.struct((F.col("to_n") <= 2).alias("rare"), F.col("distance"), -F.col("to_n"), F.col("to"))).alias("family"))
     return parsed.join(best, ["kind", "surname"], "left").withColumn("family", F.coalesce("family", "surname"))
@@ -241,9 +258,10 @@ def _with_family(parsed: DataFrame) -> DataFrame:
 def _bearers(people: DataFrame) -> DataFrame:
     """family, first -> bearer: the full given name that a given name, misspelt or familiar, stands for."""
     full = people.where("not short and length(first) > 1").groupBy("family", "first").agg(F.count("*").alias("n"))
-    full = cut_lineage(full.withColumn("families", F.count("*").over(Window.partitionBy("first"))))
+    full = cut_lineage(full)
+    full = cut_lineage(full.join(full.groupBy("first").agg(F.count("*").alias("families")), "first"))
     goal = F.expr("shorter_n > longer_n or (shorter_n = longer_n and shorter_families > longer_families)")
-    pairs = towards_common(segment_join(full, "first", 2, ("family",), ("n", "families")), ("family",), goal)
+    pairs = towards_common(segment_join(full, "first", ("family",), ("n", "families"), 6), ("family",), goal)
     misspelt = pairs.where(
         "(to_n > from_n or to_families > from_families) and from_families <= to_families and (from_families < 3 or from_families * 8 <= to_families)"
         " and (least(length(`from`), length(`to`)) >= 4 or distance <= 1)"
@@ -283,17 +301,22 @@ def name_entities(names: DataFrame) -> DataFrame:
     nobody = F.concat(F.col("first"), F.lit("."), F.coalesce("second", F.lit("")))
     everyone = full.unionByName(ranked.select("name", "family", F.coalesce(led, nobody).alias("bearer"), "second"))
     # Second names that contradict each other tell persons apart; then a name without one is neither's.
-    kinds = F.size(F.collect_set(F.substring("second", 1, 1)).over(Window.partitionBy("family", "bearer")))
-    apart = F.when(kinds > 1, F.coalesce(F.substring("second", 1, 1), F.lit("?")))
-    person = everyone.select("name", F.concat_ws("|", F.lit("person"), "family", "bearer", apart).alias("entity"))
+    everyone = cut_lineage(everyone)
+    several = everyone.groupBy("family", "bearer").agg(F.min(F.substring("second", 1, 1)).alias("a"), F.max(F.substring("second", 1, 1)).alias("b")).where("a <> b")
+    told = everyone.join(several.select("family", "bearer", F.lit(True).alias("several")), ["family", "bearer"], "left")
+    apart = F.when(F.col("several"), F.coalesce(F.substring("second", 1, 1), F.lit("?")))
+    person = told.select("name", F.concat_ws("|", F.lit("person"), "family", "bearer", apart).alias("entity"))
     return person.unionByName(others)
 
 
 def name_pairs(names: DataFrame) -> DataFrame:
-    """name_a < name_b by code points: each pair of different spellings of one person or organisation."""
+    """name_a < name_b by code points: each pair of different spellings of one person or organisation.
+
+    The pairs are what is asked for; ``name_entities`` says the same in one row per spelling.
+    """
     entities = cut_lineage(name_entities(names))
     a, b = entities.toDF("name_a", "entity"), entities.toDF("name_b", "entity")
-    return a.join(b, "entity").where("name_a < name_b").select("name_a", "name_b")
+    return skew.salted_join(a, b, ["entity"]).where("name_a < name_b").select("name_a", "name_b")
 
 
 def spellings(columns: list[DataFrame]) -> DataFrame:

@@ -54,6 +54,13 @@ def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.link(_open(spark, sf_dir)).select("record_a", "record_b", "confidence")
 
 
+def p4_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many candidates the model takes for matches and how many it refuses, by what the title, volume, derivation and author functions say."""
+    said = ["title", "volume", "derived", "authors"]
+    match = (F.col("confidence") >= linkage.THRESHOLD).alias("match")
+    return linkage.link(_open(spark, sf_dir)).groupBy(match, *said).agg(F.count("*").alias("pairs"))
+
+
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = table(spark, sf_dir, "book_sources")
     return survivor.of_several(survivor.accounts(stored, table(spark, sf_dir, "raw_book")), stored)
@@ -109,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_entities": p3_entities,
     "p4_found": p4_found,
     "p4_confidence": p4_confidence,
+    "p4_decisions": p4_decisions,
     "p6_found": p6_found,
     "p6_discovered": p6_discovered,
     "p6_reliability": p6_reliability,
