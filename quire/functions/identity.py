@@ -2,34 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire.functions import text
 
-#: Two-letter and bibliographic codes -> three-letter terminological codes (fixed values).
-LANGUAGES = {
-    "ar": "ara", "bg": "bul", "ca": "cat", "cs": "ces", "cze": "ces", "cy": "cym", "wel": "cym", "da": "dan", "de": "deu", "ger": "deu", "el": "ell", "gre": "ell",
-    "en": "eng", "eo": "epo", "es": "spa", "et": "est", "eu": "eus", "baq": "eus", "fa": "fas", "per": "fas", "fi": "fin", "fr": "fra", "fre": "fra", "ga": "gle",
-    "he": "heb", "hi": "hin", "hr": "hrv", "hu": "hun", "hy": "hye", "arm": "hye", "is": "isl", "ice": "isl", "it": "ita", "ja": "jpn", "ka": "kat", "geo": "kat",
-    "ko": "kor", "la": "lat", "lt": "lit", "lv": "lav", "mk": "mkd", "mac": "mkd", "ms": "msa", "may": "msa", "nl": "nld", "dut": "nld", "no": "nor", "nb": "nob",
-    "nn": "nno", "pl": "pol", "pt": "por", "ro": "ron", "rum": "ron", "ru": "rus", "sk": "slk", "slo": "slk", "sl": "slv", "sq": "sqi", "alb": "sqi", "sr": "srp",
-    "sv": "swe", "th": "tha", "tl": "tgl", "tr": "tur", "uk": "ukr", "vi": "vie", "yi": "yid", "zh": "zho", "chi": "zho",
-}
-#: Three-letter codes that stand for themselves: all targets above.
-KNOWN = sorted(set(LANGUAGES.values()))
-
-
-def language(column: Column) -> Column:
-    """ISO 639-3 of a two- or three-letter code, else null."""
+#: ISO 639-1 codes with their three-letter codes (fixed values).
+TWO_LETTER = (
+    "aa aar ab abk ae ave af afr ak aka am amh an arg ar ara as asm av ava ay aym az aze ba bak be bel bg bul bi bis bm bam bn ben bo bod br bre bs bos ca cat ce che ch cha "
+    "co cos cr cre cs ces cu chu cv chv cy cym da dan de deu dv div dz dzo ee ewe el ell en eng eo epo es spa et est eu eus fa fas ff ful fi fin fj fij fo fao fr fra fy fry "
+    "ga gle gd gla gl glg gn grn gu guj gv glv ha hau he heb hi hin ho hmo hr hrv ht hat hu hun hy hye hz her ia ina id ind ie ile ig ibo ii iii ik ipk io ido is isl it ita "
+    "iu iku ja jpn jv jav ka kat kg kon ki kik kj kua kk kaz kl kal km khm kn kan ko kor kr kau ks kas ku kur kv kom kw cor ky kir la lat lb ltz lg lug li lim ln lin lo lao "
+    "lt lit lu lub lv lav mg mlg mh mah mi mri mk mkd ml mal mn mon mr mar ms msa mt mlt my mya na nau nb nob nd nde ne nep ng ndo nl nld nn nno no nor nr nbl nv nav ny nya "
+    "oc oci oj oji om orm or ori os oss pa pan pi pli pl pol ps pus pt por qu que rm roh rn run ro ron ru rus rw kin sa san sc srd sd snd se sme sg sag sh hbs si sin sk slk "
+    "sl slv sm smo sn sna so som sq sqi sr srp ss ssw st sot su sun sv swe sw swa ta tam te tel tg tgk th tha ti tir tk tuk tl tgl tn tsn to ton tr tur ts tso tt tat tw twi "
+    "ty tah ug uig uk ukr ur urd uz uzb ve ven vi vie vo vol wa wln wo wol xh xho yi yid yo yor za zha zh zho zu zul"
+)
+#: Bibliographic codes with their terminological codes (fixed values).
+BIBLIOGRAPHIC = (
+    "alb sqi arm hye baq eus bur mya chi zho cze ces dut nld fre fra geo kat ger deu gre ell ice isl mac mkd mao mri may msa per fas rum ron slo slk tib bod wel cym"
+)
+#: Languages of books that have a three-letter code only (fixed values); codes beyond these come as a parameter.
+THREE_LETTER = (
+    "akk ang arc arn ast ban bas ceb chr cop crh dsb dum egy enm fil frm fro fur gmh goh got grc gsw haw hmn hsb ilo kab kha lad mai mni mul nah nap nds new non oji pau peo "
+    "pro rom rup sah sco scn syr tet tpi tvl udm uga und war xal yap zap zxx zza"
+)
+
+
+def _pairs(table: str) -> list[tuple[str, str]]:
+    words = table.split()
+    return list(zip(words[::2], words[1::2]))
+
+
+def language(column: Column, more: Sequence[str] = ()) -> Column:
+    """Three-letter terminological code of a two- or three-letter code in any case, else null; ``more``: further three-letter
+    codes that stand for themselves (of the 7,900 of ISO 639-3, those of ISO 639-1 and the commonest others are built in)."""
+    known = dict(_pairs(BIBLIOGRAPHIC)) | dict(_pairs(TWO_LETTER))
+    known |= {c: c for c in (*(three for _, three in _pairs(TWO_LETTER)), *THREE_LETTER.split(), *more)}
+    # One text and one search in it: a map is read from its start for each lookup.
+    table = F.lit("".join(f" {code}:{target}" for code, target in sorted(known.items())))
     code = F.lower(F.trim(column))
-    table = F.create_map(*[F.lit(x) for pair in {**LANGUAGES, **{k: k for k in KNOWN}}.items() for x in pair])
-    return F.try_element_at(table, code)
+    at = F.position(F.concat(F.lit(" "), code, F.lit(":")), table)
+    return F.when(code.rlike(r"^[a-z]{2,3}$") & (at > 0), F.substring(table, at + F.length(code) + 2, F.lit(3)))
 
 
 def select_language(codes: Column) -> Column:
     """The one language of an array; null where there is none or more than one."""
-    known = F.array_distinct(F.array_compact(F.transform(F.coalesce(codes, F.array().cast("array<string>")), language)))
+    known = F.array_distinct(F.array_compact(F.transform(F.coalesce(codes, F.array().cast("array<string>")), lambda c: language(c))))
     return F.when(F.size(known) == 1, known[0])
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire.functions.bind import let
+
 #: First and last year of publication taken for real (fixed values), and of an author's life.
 YEARS = (1400, 2100)
 LIFE_YEARS = (-3000, 2100)
@@ -34,7 +36,10 @@ def isbn10_check_digit(nine: Column) -> Column:
 
 def to_isbn13(column: Column) -> Column:
     """13 valid digits (978 or 979, not 9790), converted from a valid ISBN-10 where need be; else null."""
-    code = isbn_clean(column)
+    return let(isbn_clean(column), _clean_isbn13)
+
+
+def _clean_isbn13(code: Column) -> Column:
     long = F.when(code.rlike(r"^97(?:8|9(?!0))\d{10}$"), code)
     short = F.when(code.rlike(r"^\d{9}[\dX]$"), code)
     valid = F.when(F.substring(long, 13, 1) == isbn13_check_digit(F.substring(long, 1, 12)), long)

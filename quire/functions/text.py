@@ -18,7 +18,10 @@ PUNCTUATION = {
 }
 #: White space as Unicode has it, with the separators U+001C to U+001F.
 SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-_LIFE_DATES = r",?\s*\(?(?:\b(?:b|d|ca?|fl)\.\s*)?\d{3,4}\??\s*(?:-\s*(?:\d{3,4}\??)?)?\)?\s*$"
+#: A lifespan at the end of a name; a dash is what makes it one.
+_LIFE_DATES = r",?\s*\p{Nd}{3,4}\s*-\s*\p{Nd}{0,4}\s*$"
+#: Punctuation of names that says nothing (fixed values). Apostrophes and hyphens are part of a name.
+_NAME_PUNCTUATION = r"[.,;:()\[\]]"
 
 
 def squeeze(column: Column) -> Column:
@@ -56,23 +59,35 @@ def title_form(column: Column) -> Column:
 subject_form = title_form
 
 
+@F.pandas_udf(StringType())
+def _casefold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        yield batch.map(lambda v: None if v is None else v.casefold())
+
+
+def casefold(column: Column) -> Column:
+    """Case folded as Unicode has it; ASCII stays in the JVM."""
+    ascii_only = column.rlike(r"^[\x00-\x7F]*$")
+    return F.when(ascii_only, F.lower(column)).otherwise(_casefold(F.when(~ascii_only, column)))
+
+
 def author_form(column: Column) -> Column:
-    """A name for comparison: without life dates, given name first if exactly one comma turns it, no marks."""
-    flat = fold(column)
-    bare = F.regexp_replace(flat, _LIFE_DATES, "")
-    turned = F.when(
-        F.regexp_count(bare, F.lit(",")) == 1, F.concat_ws(" ", F.trim(F.substring_index(bare, ",", -1)), F.trim(F.substring_index(bare, ",", 1)))
-    ).otherwise(bare)
-    marked = turned.rlike(r"[^\x00-\x7F]")
-    plain = F.when(marked, _strip_marks(F.when(marked, turned))).otherwise(turned)
-    clean = squeeze(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
+    """A name for comparison: without life dates, given name first if exactly one comma parts two names, no accents."""
+    bare = F.regexp_replace(fold(column), _LIFE_DATES, "")
+    surname, given = F.trim(F.substring_index(bare, ",", 1)), F.trim(F.substring_index(bare, ",", -1))
+    inverted = (F.regexp_count(bare, F.lit(",")) == 1) & (F.length(surname) > 0) & (F.length(given) > 0)
+    turned = F.when(inverted, F.concat_ws(" ", given, surname)).otherwise(bare)
+    flat = F.regexp_replace(turned, _NAME_PUNCTUATION, " ")
+    marked = flat.rlike(r"[^\x00-\x7F]")
+    clean = squeeze(F.when(marked, _strip_marks(F.when(marked, flat))).otherwise(flat))
     return F.when(F.length(clean) > 0, clean)
 
 
 def strip_marc(column: Column) -> Column:
-    """Without subfield codes such as ``$b``; a text without any is left as it is."""
-    code = r"[$|\x{2021}][a-z](?=\s)"
-    return F.when(column.rlike(code), squeeze(F.regexp_replace(column, code, ""))).otherwise(column)
+    """Without subfield codes such as ``$b``; a text without any is left as it is, one of nothing else is null."""
+    code = r"[$|\x{2021}][a-z](?=" + SPACES[:-1] + ")"
+    bare = squeeze(F.regexp_replace(column, code, ""))
+    return F.when(column.rlike(code), F.when(F.length(bare) > 0, bare)).otherwise(column)
 
 
 @F.pandas_udf(StringType())
@@ -89,16 +104,16 @@ def unescaped(column: Column) -> Column:
 
 
 def html_text(column: Column) -> Column:
-    """Text of an HTML fragment: breaks and blocks as newlines (two at most), tags gone, entities resolved, run-together
-    sentences parted."""
-    broken = F.regexp_replace(column, r"(?i)<br\s*/?>", "\n")
-    blocks = F.regexp_replace(broken, r"(?i)</(?:p|div|li|ul|ol|h[1-6]|blockquote|section|article)>", "\n\n")
-    text = unescaped(F.regexp_replace(blocks, r"<[^>]+>", ""))
-    parted = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N}][.!?])(?=\p{Lu}\p{Ll})", " ")
-    lines = F.regexp_replace(F.regexp_replace(parted, r"[ \t\x{a0}]+", " "), r" ?\n ?", "\n")
-    out = F.regexp_replace(F.regexp_replace(lines, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+    """Text of an HTML fragment: breaks and block ends as newlines (two at most), tags gone, then entities resolved, welded
+    sentences parted; null if nothing is left."""
+    blocks = F.regexp_replace(F.regexp_replace(column, r"(?i)<br\s*/?>", "\n"), r"(?i)</(?:p|div|li|h[1-6])>", "\n\n")
+    plain = unescaped(F.regexp_replace(blocks, r"<[^>]+>", ""))
+    parted = F.regexp_replace(F.regexp_replace(plain, r"([.!?])([A-Z])", "$1 $2"), r"[ \t]+", " ")
+    around = SPACES.replace(r"\s", r" \t\r\f\x{0b}").replace("]+", "]*")
+    out = F.regexp_replace(F.regexp_replace(F.regexp_replace(parted, around + r"\n" + around, "\n"), r"\n{3,}", "\n\n"), f"^{SPACES}|{SPACES}$", "")
     return F.when(F.length(out) > 0, out)
 
 
 def slug(column: Column) -> Column:
-    return F.regexp_replace(F.lower(column), r"[^a-z0-9]+", "-")
+    """Lower-case letters and digits with one hyphen between runs of them."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(column)), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")

@@ -8,28 +8,29 @@ from pyspark.sql import functions as F
 #: Comparable fields and the payload members that may hold each, in order (fixed values).
 COMPARED = {
     "title": ("title",),
-    "published_year": ("published_year", "first_publish_year", "publishedDate", "publish_date"),
+    "published_year": ("published", "first_publish_year", "publish_date", "publishedDate"),
     "publisher": ("publisher", "publishers"),
     "page_count": ("page_count", "number_of_pages", "number_of_pages_median", "pageCount"),
 }
 
 
 def readable(v: Column, member: str) -> Column:
-    """A payload's member as text for comparison: at the top level, else in ``volumeInfo``; a list counts by its first."""
-    def at(path: str) -> Column:
-        value = F.try_variant_get(v, path, "variant")
-        first = F.try_variant_get(v, f"{path}[0]", "string")
-        single = F.when(~F.schema_of_variant(value).startswith("ARRAY"), F.try_variant_get(v, path, "string"))
-        text = F.lower(F.trim(F.coalesce(first, single)))
-        return F.when(F.length(text) > 0, text)
-
-    return F.coalesce(at(f"$.{member}"), at(f"$.volumeInfo.{member}"))
+    """struct(text) of a payload's member as it is compared: at the top level if the member is there at all, null included,
+    else in ``volumeInfo``; a list counts by its first. Null if the member is absent, null, '' or an empty list."""
+    at = lambda path: F.try_variant_get(v, path, "variant")
+    value = F.coalesce(at(f"$.{member}"), at(f"$.volumeInfo.{member}"))
+    shape = F.schema_of_variant(value)
+    listed = shape.startswith("ARRAY")
+    text = F.when(listed, F.try_variant_get(value, "$[0]", "string")).otherwise(F.try_variant_get(value, "$", "string"))
+    empty = (shape == "VOID") | (~listed & (text == "")) | (listed & F.try_variant_get(value, "$[0]", "variant").isNull())
+    return F.when(value.isNotNull() & ~F.coalesce(empty, F.lit(False)), F.struct(F.lower(F.trim(text)).alias("text")))
 
 
 def comparable_values(payloads: DataFrame) -> DataFrame:
-    """``payloads`` (..., raw_payload) with a text per comparable field; null where the payload has none."""
+    """``payloads`` (..., raw_payload) with a text per comparable field, that of the first member with a value; null where
+    the payload has none."""
     parsed = payloads.withColumn("v", F.try_parse_json("raw_payload"))
-    return parsed.select(*payloads.columns, *[F.coalesce(*[readable(F.col("v"), m) for m in members]).alias(f) for f, members in COMPARED.items()])
+    return parsed.select(*payloads.columns, *[F.coalesce(*[readable(F.col("v"), m) for m in members])["text"].alias(f) for f, members in COMPARED.items()])
 
 
 def conflict_counts(payloads: DataFrame, by: str = "book_id") -> DataFrame:

@@ -125,10 +125,10 @@ def map_googlebooks(v: Column) -> Column:
 def map_goodreads(v: Column) -> Column:
     """A search card, with what enrichment stored beside it (``_detail``, ``_edition``) taking part in replay."""
     title, bare = _text(v, "$.title"), _text(v, "$.bookTitleBare")
-    shown = F.coalesce(bare, F.regexp_replace(title, r"\s*\([^()]*#[^()]*\)\s*$", ""), title)
+    dirty = similarity.title_series(title)
+    shown = F.coalesce(bare, dirty["bare"], title)
     told = similarity.aria_series(_text(v, "$._detail.series_label"))
     series_id = _text(v, "$._detail.series_id")
-    dirty = similarity.title_series(title, shown)
     member = lambda name, sid, position, sure: F.array(F.struct(name.alias("name"), sid.alias("source_series_id"), position.alias("position"), sure.alias("confirmed")))
     none = F.lit(None).cast("string")
     series = F.when(told.isNotNull(), member(told["name"], series_id, told["position"], series_id.isNotNull())).when(

@@ -74,13 +74,15 @@ def rank(frame: DataFrame) -> Column:
     return F.struct((-completeness(frame)).alias("c"), priority(F.col("source")).alias("p"), F.col("source_id").alias("i"), F.col("source").alias("s"))
 
 
-def merge(candidates: DataFrame, by: str) -> DataFrame:
+def merge(candidates: DataFrame, by: str, target: str | None = None) -> DataFrame:
     """One record per ``by``: each field's first value in rank order, lists whole from the best that has any, series from
     the best that has a confirmed one. Partial aggregates only, in whatever order rows come.
 
-    A group of more than one ISBN is not merged: its ``conflict`` is true and its values are null.
+    ``target`` names a column with the identity that the group's record already has, if any. A group is refused (its
+    ``conflict`` is true and its values are null) if it holds more than one ISBN, or one that is not the target's, or, with
+    neither an ISBN nor a target, more than one fallback identity.
     """
-    ranked = candidates.withColumn("__rank", rank(candidates))
+    ranked = candidates.withColumn("__rank", rank(candidates)).withColumn("__target", F.col(target) if target else F.lit(None).cast("string"))
     kinds = dict(candidates.dtypes)
     first = lambda name, test: F.min_by(F.when(test, F.col(name)), F.when(test, F.col("__rank"))).alias(name)
     fields = [first(f, F.col(f).isNotNull()) for f in MERGED if f in kinds]
@@ -91,24 +93,33 @@ def merge(candidates: DataFrame, by: str) -> DataFrame:
         order = F.when(some, F.struct((~F.coalesce(sure, F.lit(False))).alias("u"), F.col("__rank").alias("r")))
         lists.append(F.min_by(F.when(some, F.col("series")), order).alias("series"))
     winner = F.min_by(F.struct("source", "source_id"), "__rank")
+    differ = lambda c: F.min(c) != F.max(c)
     merged = ranked.groupBy(by).agg(
-        *fields, *lists, winner["source"].alias("source"), winner["source_id"].alias("source_id"), F.min("isbn13").alias("isbn13"),
-        F.min_by("identity_key", F.struct(F.col("isbn13").isNull(), F.col("__rank"))).alias("identity_key"),
-        F.count_distinct("isbn13").alias("isbn_count"), F.count("*").alias("n_records"),
+        *fields, *lists, winner["source"].alias("source"), winner["source_id"].alias("source_id"), F.min("isbn13").alias("__isbn"), F.min("__target").alias("__target"),
+        F.min("identity_key").alias("__key"), differ("isbn13").alias("__isbns"), differ("identity_key").alias("__keys"), F.count("*").alias("n_records"),
     )
-    conflict = F.col("isbn_count") > 1
-    return merged.select(by, "n_records", conflict.alias("conflict"), *[F.when(~conflict, F.col(c)).alias(c) for c in merged.columns if c not in (by, "n_records", "isbn_count")])
+    wanted = F.when(F.col("__target").startswith("isbn:"), F.substring("__target", 6, 13))
+    one = F.coalesce("__isbn", wanted)
+    conflict = F.coalesce("__isbns", F.lit(False)) | F.coalesce(F.col("__isbn") != wanted, F.lit(False)) | (one.isNull() & F.col("__target").isNull() & F.coalesce("__keys", F.lit(False)))
+    key = F.coalesce(F.concat(F.lit("isbn:"), one), "__target", "__key")
+    kept = [c for c in merged.columns if c not in (by, "n_records") and not c.startswith("__")]
+    return merged.select(by, "n_records", conflict.alias("conflict"), *[F.when(~conflict, F.col(c)).alias(c) for c in kept], F.when(~conflict, one).alias("isbn13"), F.when(~conflict, key).alias("identity_key"))
 
 
 def unify_identity(records: DataFrame, by: str) -> DataFrame:
-    """``records`` with one identity per ``by``: the ISBN's if there is exactly one, the best-ranked record's if there is
-    none; groups whose ISBNs conflict keep their own keys."""
+    """``records`` with one identity and ISBN per ``by``: the ISBN's if there is exactly one, the best-ranked record's if
+    there is none; groups whose ISBNs conflict keep their own."""
     ranked = records.withColumn("__rank", rank(records))
-    agreed = ranked.groupBy(by).agg(
-        F.count_distinct("isbn13").alias("__isbns"), F.min("isbn13").alias("__isbn"), F.min_by("identity_key", "__rank").alias("__key")
-    )
-    own = F.when(F.col("__isbns") == 1, F.concat(F.lit("isbn:"), F.col("__isbn"))).when(F.col("__isbns") == 0, F.col("__key"))
-    return records.join(agreed, by, "left").withColumn("identity_key", F.coalesce(own, "identity_key")).drop("__isbns", "__isbn", "__key")
+    agreed = ranked.groupBy(by).agg((F.min("isbn13") != F.max("isbn13")).alias("__apart"), F.min("isbn13").alias("__isbn"), F.min_by("identity_key", "__rank").alias("__key"))
+    joined = records.join(agreed, by, "left")
+    return agree(joined.withColumn("__target", F.when(~F.coalesce("__apart", F.lit(False)), F.coalesce(F.concat(F.lit("isbn:"), "__isbn"), "__key"))), "__target").drop("__apart", "__isbn", "__key", "__target")
+
+
+def agree(records: DataFrame, target: str) -> DataFrame:
+    """``records`` on the identity in the column ``target`` where it has one: key and ISBN move together, the rest stays."""
+    moved = F.col(target).isNotNull() & ~F.col("identity_key").eqNullSafe(F.col(target))
+    isbn = F.when(F.col(target).startswith("isbn:"), F.substring(F.col(target), 6, 13))
+    return records.withColumns({"isbn13": F.when(moved, isbn).otherwise(F.col("isbn13")), "identity_key": F.coalesce(target, "identity_key")})
 
 
 def content_hash(frame: DataFrame) -> Column:

@@ -83,9 +83,14 @@ def assign_ids(stored: DataFrame, fresh: DataFrame, key: str, identifier: str) -
 
 def remap(links: DataFrame, mapping: DataFrame, column: str, key: Sequence[str]) -> DataFrame:
     """``links`` with ``column`` led through ``mapping`` (old_id, new_id), each link once: what merging two rows does to
-    those that point at them."""
-    led = links.join(mapping, F.col(column) == F.col("old_id"), "left").withColumn(column, F.coalesce("new_id", column)).drop("old_id", "new_id")
-    return led.dropDuplicates(list(key))
+    those that point at them. Of links that fall together the survivor's own stays, then the one with the smallest values."""
+    led = links.join(mapping, F.col(column) == F.col("old_id"), "left")
+    moved = led.withColumn("__moved", F.col("new_id").isNotNull()).withColumn(column, F.coalesce("new_id", column)).drop("old_id", "new_id")
+    rest = [c for c in links.columns if c not in key]
+    if not rest:
+        return moved.select(*key).distinct()
+    kept = moved.groupBy(*key).agg(F.min(F.struct("__moved", *rest)).alias("__kept"))
+    return kept.select(*[F.col(c) if c in key else F.col(f"__kept.{c}") for c in links.columns])
 
 
 def sync_people(accounts: DataFrame, by: str, name: Column) -> tuple[DataFrame, DataFrame]:
@@ -139,25 +144,25 @@ def search_text(series: DataFrame, by: str) -> DataFrame:
     return one.groupBy(by).agg(F.array_join(F.transform(whole, lambda s: s["name"]), " ").alias("series_search_text"))
 
 
-def reconcile_identities(routes: DataFrame, rounds: int = 20) -> DataFrame:
+def reconcile_identities(routes: DataFrame, rounds: int = 40) -> DataFrame:
     """(book, root): connected components of books that accounts tie together (book_a, book_b), named by the smallest id.
 
-    Alternating minimum propagation and pointer jumping over keyed joins; lineage is cut each round.
+    Alternating minimum propagation and pointer jumping over keyed joins; a round is one checkpoint, and whether a root moved
+    is counted on what was just written. Jumping halves the depth, so ``rounds`` are enough for chains of 2 to their number.
     """
     from quire.session import cut_lineage
 
     a, b = routes.select(F.col("book_a").alias("x"), F.col("book_b").alias("y")), routes.select(F.col("book_b").alias("x"), F.col("book_a").alias("y"))
     edges = cut_lineage(a.unionByName(b).where("x is not null and y is not null").distinct())
-    root = cut_lineage(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("root")))
+    root = cut_lineage(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("root"), F.lit(True).alias("moved")))
     for _ in range(rounds):
-        near = edges.join(root.toDF("y", "near"), "y").groupBy("x").agg(F.min("near").alias("near"))
-        spread = root.join(near, "x").select("x", F.least("root", "near").alias("root"))
-        jumped = spread.join(spread.toDF("root", "beyond"), "root", "left").select("x", F.least("root", F.coalesce("beyond", "root")).alias("root"))
-        jumped = cut_lineage(jumped)
-        moved = jumped.join(root.toDF("x", "before"), "x").where("root <> before").limit(1).count()
-        root = jumped
-        if not moved:
+        if root.where("moved").isEmpty():
             break
+        near = edges.join(root.select(F.col("x").alias("y"), F.col("root").alias("near")), "y").groupBy("x").agg(F.min("near").alias("near"))
+        spread = root.select("x", F.col("root").alias("before")).join(near, "x").withColumn("root", F.least("before", "near"))
+        jumped = spread.join(root.select(F.col("x").alias("root"), F.col("root").alias("beyond")), "root", "left").withColumn("to", F.least("root", F.coalesce("beyond", "root")))
+        root = cut_lineage(jumped.select("x", F.col("to").alias("root"), (F.col("to") != F.col("before")).alias("moved")))
     else:
-        raise RuntimeError(f"components not settled after {rounds} rounds")
+        if not root.where("moved").isEmpty():
+            raise RuntimeError(f"components not settled after {rounds} rounds")
     return root.select(F.col("x").alias("book"), "root")

@@ -28,23 +28,23 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-# SQL counterparts of the scalar forms, written independently for the other engine.
+# SQL counterparts of the scalar forms, written out for the other engine: none reads a table or pattern of this package.
 def _title_sql(c: str) -> str:
-    folded = f"""translate(nfc_normalize({c}), '‘’‚‛“”‐‑‒–—' || chr(160), '''''''''""-----' || ' ')"""
-    return f"nullif(lower(trim(regexp_replace({folded}, '\\s+', ' ', 'g'))), '')"
+    folded = f"""translate(nfc_normalize({c}), chr(8216) || chr(8217) || chr(8218) || chr(8219) || chr(8220) || chr(8221) || chr(8222) || chr(8211) || chr(8212) || chr(8208) || chr(8209) || chr(160),
+        repeat(chr(39), 4) || repeat(chr(34), 3) || '---- ')"""
+    return f"nullif(replace(lower(trim(regexp_replace({folded}, '\\s+', ' ', 'g'))), 'ß', 'ss'), '')"
 
 
 def _marc_sql(c: str) -> str:
-    code = "[$|‡][a-z](\\s)"
-    return f"CASE WHEN regexp_matches({c}, '{code}') THEN trim(regexp_replace(regexp_replace({c}, '{code}', '\\1', 'g'), '[\\s ]+', ' ', 'g')) ELSE {c} END"
+    code = "\\s*[$|‡][a-z](\\s)"
+    return f"CASE WHEN regexp_matches({c}, '{code}') THEN nullif(trim(regexp_replace(regexp_replace({c}, '{code}', '\\1', 'g'), '[\\s ]+', ' ', 'g')), '') ELSE {c} END"
 
 
 def _author_sql(c: str) -> str:
-    flat = _title_sql(c)
-    bare = f"regexp_replace({flat}, ',?\\s*\\(?(\\b(b|d|ca?|fl)\\.\\s*)?[0-9]{{3,4}}\\??\\s*(-\\s*([0-9]{{3,4}}\\??)?)?\\)?\\s*$', '')"
-    turned = f"""(SELECT CASE WHEN length(x) - length(replace(x, ',', '')) = 1
+    bare = f"regexp_replace({_title_sql(c)}, ',?\\s*[0-9]{{3,4}}\\s*-\\s*[0-9]{{0,4}}\\s*$', '')"
+    turned = f"""(SELECT CASE WHEN length(x) - length(replace(x, ',', '')) = 1 AND trim(split_part(x, ',', 1)) <> '' AND trim(split_part(x, ',', 2)) <> ''
         THEN trim(split_part(x, ',', 2)) || ' ' || trim(split_part(x, ',', 1)) ELSE x END FROM (SELECT {bare} AS x))"""
-    return f"nullif(trim(regexp_replace(strip_accents({turned}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), '')"
+    return f"nullif(trim(regexp_replace(strip_accents(translate({turned}, '.,;:()[]', '        ')), '\\s+', ' ', 'g')), '')"
 
 
 _ROMANS = """(SELECT y, ['', 'M', 'MM'][y // 1000 + 1] || ['', 'C', 'CC', 'CCC', 'CD', 'D', 'DC', 'DCC', 'DCCC', 'CM'][(y // 100) % 10 + 1]
@@ -68,9 +68,19 @@ def _isbn13_sql(x: str) -> str:
         WHEN regexp_full_match({code}, '[0-9]{{9}}[0-9X]') THEN CASE WHEN substr({code}, 10, 1) = {check10} THEN {stem} || {check13(stem)} END END"""
 
 
+_ISO = """aa=aar ab=abk ae=ave af=afr ak=aka am=amh an=arg ar=ara as=asm av=ava ay=aym az=aze ba=bak be=bel bg=bul bi=bis bm=bam bn=ben bo=bod br=bre bs=bos ca=cat ce=che ch=cha co=cos cr=cre
+    cs=ces cu=chu cv=chv cy=cym da=dan de=deu dv=div dz=dzo ee=ewe el=ell en=eng eo=epo es=spa et=est eu=eus fa=fas ff=ful fi=fin fj=fij fo=fao fr=fra fy=fry ga=gle gd=gla gl=glg gn=grn gu=guj
+    ha=hau he=heb hi=hin hr=hrv ht=hat hu=hun hy=hye id=ind is=isl it=ita ja=jpn ka=kat kk=kaz km=khm kn=kan ko=kor ku=kur ky=kir la=lat lb=ltz lo=lao lt=lit lv=lav mg=mlg mi=mri mk=mkd ml=mal mn=mon
+    mr=mar ms=msa mt=mlt my=mya nb=nob ne=nep nl=nld nn=nno no=nor oc=oci pa=pan pl=pol ps=pus pt=por qu=que rm=roh ro=ron ru=rus rw=kin sa=san sd=snd se=sme si=sin sk=slk sl=slv so=som sq=sqi sr=srp
+    su=sun sv=swe sw=swa ta=tam te=tel tg=tgk th=tha tk=tuk tl=tgl tr=tur tt=tat uk=ukr ur=urd uz=uzb vi=vie xh=xho yi=yid yo=yor zh=zho zu=zul alb=sqi arm=hye baq=eus bur=mya chi=zho cze=ces dut=nld
+    fre=fra geo=kat ger=deu gre=ell ice=isl mac=mkd mao=mri may=msa per=fas rum=ron slo=slk tib=bod wel=cym"""
+
+
 def _language_sql(x: str) -> str:
-    known = {**identity.LANGUAGES, **{k: k for k in identity.KNOWN}}
-    return f"map([{', '.join(repr(k) for k in known)}], [{', '.join(repr(v) for v in known.values())}])[lower(trim({x}))]"
+    """By the published code tables; a three-letter code of a language stands for itself."""
+    pairs = f"[string_split(p, '=') for p in string_split_regex('{_ISO}', '\\s+')]"
+    code = f"lower(trim({x}))"
+    return f"""coalesce(list_filter({pairs}, lambda p: p[1] = {code})[1][2], list_filter({pairs}, lambda p: p[2] = {code})[1][2])"""
 
 
 _ISBNS = f"""isbn AS (SELECT record_id, CASE WHEN count(DISTINCT c) BETWEEN 1 AND 8 THEN min(c) END AS isbn13 FROM (
@@ -104,8 +114,8 @@ def _clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _accounts(spark: SparkSession, d: str) -> DataFrame:
-    """Stored accounts of books with their canonical forms."""
-    return table(spark, d, "book_sources").select("book_id", "source", "source_id").join(_clean(spark, d), ["source", "source_id"])
+    """Stored accounts of books with their canonical forms: only rows that are accounts are made canonical."""
+    return merge.canonicalise(_raw_accounts(spark, d))
 
 
 def _raw_accounts(spark: SparkSession, d: str) -> DataFrame:
@@ -168,13 +178,14 @@ def payload_hash(spark: SparkSession, d: str) -> DataFrame:
     return stored.select("source", "source_id", identity.payload_hash(F.col("raw_payload")).alias("hash"))
 
 
-@query("""SELECT record_id, trim(regexp_extract(title, '\\(([^()]+?),?\\s+#([0-9]+(?:\\.[0-9]+)?)(?:\\s*-\\s*[0-9]+(?:\\.[0-9]+)?)?\\)\\s*$', 1)) AS name,
-    regexp_extract(title, '\\(([^()]+?),?\\s+#([0-9]+(?:\\.[0-9]+)?)(?:\\s*-\\s*[0-9]+(?:\\.[0-9]+)?)?\\)\\s*$', 2)::DECIMAL(8,2) AS position
-    FROM raw_book WHERE regexp_matches(title, '\\([^()]+?,?\\s+#[0-9]+(\\.[0-9]+)?\\)\\s*$')""")
+@query("""SELECT record_id, trim(regexp_extract(title, '\\s*\\(([^()]+?)(?:,\\s*#([0-9.]+))?\\)\\s*$', 1)) AS name,
+    try_cast(nullif(regexp_extract(title, '\\s*\\(([^()]+?)(?:,\\s*#([0-9.]+))?\\)\\s*$', 2), '') AS DECIMAL(8,2)) AS position,
+    trim(regexp_replace(title, '\\s*\\([^()]+\\)\\s*$', '')) AS bare
+    FROM raw_book WHERE regexp_matches(title, '\\([^()]+\\)\\s*$') AND trim(regexp_replace(title, '\\s*\\([^()]+\\)\\s*$', '')) <> ''
+      AND NOT regexp_matches(trim(regexp_extract(title, '\\(([^()]+?)(?:,\\s*#[0-9.]+)?\\)\\s*$', 1)), '(?i)^[0-9]{4}$|\\b(edition|illustrated|abridged|unabridged|reprint|paperback|hardcover|boxed set|omnibus|annotated|translated|audiobook)\\b')""")
 def title_series(spark: SparkSession, d: str) -> DataFrame:
-    found = similarity.title_series(F.col("title"), F.lit("x"))
-    rows = _raw(spark, d).select("record_id", found.alias("s")).where("s is not null")
-    return rows.select("record_id", "s.name", numbers.series_position(F.col("s.position")).alias("position"))
+    rows = _raw(spark, d).select("record_id", similarity.title_series(F.col("title")).alias("s")).where("s is not null")
+    return rows.select("record_id", "s.name", numbers.series_position(F.col("s.position")).alias("position"), "s.bare")
 
 
 @query("""SELECT a.p_partkey, 2.0 * len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t)) AS similarity FROM
@@ -188,8 +199,8 @@ def token_similarity(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("p_partkey", similarity.similarity(F.col("words"), F.col("other")).alias("similarity"))
 
 
-@query("""SELECT bookid, card_rank, fetched_at, CASE WHEN NOT regexp_matches(imageurl, '(?i)nophoto|no[-_]cover|placeholder') THEN
-    regexp_replace(regexp_replace(imageurl, '\\._S[XY][0-9]+_', '', 'g'), '^http://', 'https://') END AS cover_url FROM goodreads_autocomplete""")
+@query("""SELECT bookid, card_rank, fetched_at, CASE WHEN strpos(lower(imageurl), 'nophoto') = 0 AND strpos(lower(imageurl), 'no-photo') = 0 AND strpos(lower(imageurl), 'no_photo') = 0 THEN
+    nullif(regexp_replace(regexp_replace(trim(imageurl), '(?i)\\._S[XY][0-9]+_(\\.[a-z]{3,4})$', '\\1'), '^http://', 'https://'), '') END AS cover_url FROM goodreads_autocomplete""")
 def cover_upgrade(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "goodreads_autocomplete").select("bookid", "card_rank", "fetched_at", similarity.cover(F.col("imageurl")).alias("cover_url"))
 
@@ -248,14 +259,27 @@ _FIRST = "arg_min({0}, (-completeness, priority, source_id)) FILTER (WHERE {0} I
     {', '.join(f"CASE WHEN count(DISTINCT isbn13) <= 1 THEN {_FIRST.format(f)} END AS {f}" for f in ('title', 'subtitle', 'published_year', 'page_count', 'language', 'publisher', 'cover_url', 'download_count'))},
     CASE WHEN count(DISTINCT isbn13) <= 1 THEN min(isbn13) END AS isbn13 FROM accounts GROUP BY book_id""")
 def ranked_merge(spark: SparkSession, d: str) -> DataFrame:
-    merged = merge.merge(_accounts(spark, d), "book_id")
+    """Accounts of a book brought to one identity, then merged; those with ISBNs of several books are refused."""
+    merged = merge.merge(merge.unify_identity(_accounts(spark, d), "book_id"), "book_id")
     return merged.select("book_id", "n_records", "conflict", "title", "subtitle", F.col("published_year").cast("int").alias("published_year"), "page_count", "language", "publisher", "cover_url", "download_count", "isbn13")
 
 
+@query(f"""WITH {_CLEAN} SELECT book_id, count(DISTINCT isbn13) > 1 OR (count(isbn13) = 0 AND count(DISTINCT identity_key) > 1) AS conflict,
+    CASE WHEN NOT (count(DISTINCT isbn13) > 1 OR (count(isbn13) = 0 AND count(DISTINCT identity_key) > 1)) THEN coalesce('isbn:' || min(isbn13), min(identity_key)) END AS identity_key,
+    CASE WHEN NOT (count(DISTINCT isbn13) > 1 OR (count(isbn13) = 0 AND count(DISTINCT identity_key) > 1)) THEN {_FIRST.format('title')} END AS title,
+    CASE WHEN NOT (count(DISTINCT isbn13) > 1 OR (count(isbn13) = 0 AND count(DISTINCT identity_key) > 1)) THEN arg_min(len(authors), (-completeness, priority, source_id)) FILTER (WHERE len(authors) > 0) END AS n_authors
+    FROM accounts GROUP BY book_id""")
+def merge_refusals(spark: SparkSession, d: str) -> DataFrame:
+    """Merging without unifying first: unrelated fallback identities are refused as conflicting ISBNs are."""
+    merged = merge.merge(_accounts(spark, d), "book_id")
+    return merged.select("book_id", "conflict", "identity_key", "title", F.when(F.size("authors") > 0, F.size("authors")).alias("n_authors"))
+
+
 @query(f"""WITH {_CLEAN}, agreed AS (SELECT book_id, count(DISTINCT isbn13) AS n, min(isbn13) AS isbn, arg_min(identity_key, (-completeness, priority, source_id)) AS best FROM accounts GROUP BY book_id)
-    SELECT a.record_id, CASE WHEN n = 1 THEN 'isbn:' || isbn WHEN n = 0 THEN best ELSE a.identity_key END AS identity_key FROM accounts a JOIN agreed USING (book_id)""")
+    SELECT a.record_id, CASE WHEN n = 1 THEN 'isbn:' || isbn WHEN n = 0 THEN best ELSE a.identity_key END AS identity_key, CASE WHEN n = 1 THEN isbn WHEN n > 1 THEN a.isbn13 END AS isbn13
+    FROM accounts a JOIN agreed USING (book_id)""")
 def unify_identity(spark: SparkSession, d: str) -> DataFrame:
-    return merge.unify_identity(_accounts(spark, d), "book_id").select("record_id", "identity_key")
+    return merge.unify_identity(_accounts(spark, d), "book_id").select("record_id", "identity_key", "isbn13")
 
 
 @query(f"WITH {_CLEAN} SELECT book_id, count(DISTINCT isbn13) AS isbn_count FROM accounts GROUP BY book_id HAVING count(DISTINCT isbn13) > 1")
@@ -272,12 +296,23 @@ def download_override(spark: SparkSession, d: str) -> DataFrame:
 _CUT = "TIMESTAMP '2025-07-01 00:00:00'"
 
 
-@query(f"""WITH {_CLEAN}, old AS (SELECT book_id, {_FIRST.format('title')} AS t, {_FIRST.format('publisher')} AS p, {_FIRST.format('page_count')} AS n FROM accounts WHERE source_updated < {_CUT} GROUP BY book_id),
-    new AS (SELECT book_id, {_FIRST.format('title')} AS t, {_FIRST.format('publisher')} AS p, {_FIRST.format('page_count')} AS n FROM accounts GROUP BY book_id)
-    SELECT new.book_id, old.book_id IS NULL OR (new.t, new.p, new.n) IS DISTINCT FROM (old.t, old.p, old.n) AS changed FROM new LEFT JOIN old USING (book_id)""")
+_HASHED = ("title", "subtitle", "published_year", "publisher", "page_count", "download_count", "goodreads_average_rating", "language", "description", "cover_url")
+_MERGED = ", ".join(f"{_FIRST.format(f)} AS {f}" for f in _HASHED)
+
+
+@query(f"""WITH {_CLEAN}, old AS (SELECT book_id, {_MERGED} FROM accounts WHERE source_updated < {_CUT} GROUP BY book_id), new AS (SELECT book_id, {_MERGED} FROM accounts GROUP BY book_id)
+    SELECT new.book_id, old.book_id IS NULL OR ({', '.join(f'new.{f}' for f in _HASHED)}) IS DISTINCT FROM ({', '.join(f'old.{f}' for f in _HASHED)}) AS changed FROM new LEFT JOIN old USING (book_id)""")
 def recompute_changed_only(spark: SparkSession, d: str) -> DataFrame:
-    accounts = _accounts(spark, d).withColumn("isbn13", F.lit(None).cast("string"))
-    hashed = lambda rows: merge.merge(rows, "book_id").select("book_id", identity.content_hash(("title", F.col("title")), ("publisher", F.col("publisher")), ("page_count", F.col("page_count"))).alias("content_hash"))
+    """Books recomputed from all their accounts, brought to the identity of the account seen first: only a changed content moves the stamp."""
+    stored = table(spark, d, "book_sources")
+    kept = stored.join(_clean(spark, d).select("source", "source_id", "identity_key"), ["source", "source_id"]).groupBy("book_id").agg(
+        F.min_by("identity_key", F.struct("first_seen_at", "source", "source_id")).alias("kept"))
+    accounts = merge.agree(_accounts(spark, d).join(kept, "book_id"), "kept")
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        merged = merge.merge(rows, "book_id", "kept")
+        return merged.withColumn("content_hash", merge.content_hash(merged))
+
     cut = F.lit("2025-07-01 00:00:00").cast("timestamp_ntz")
     old = hashed(accounts.where(F.col("source_updated") < cut)).withColumn("updated_at", cut)
     return merge.changed_only(old, hashed(accounts), "book_id", F.lit("2025-08-01 00:00:00").cast("timestamp_ntz")).select("book_id", "changed")
@@ -370,15 +405,19 @@ def book_merge_remap(spark: SparkSession, d: str) -> DataFrame:
     return upsert.remap(links, moved, "book_id", ["book_id", "author_id"])
 
 
-def _readable_sql(members: tuple[str, ...]) -> str:
-    def one(path: str) -> str:
-        return f"""nullif(lower(trim(CASE WHEN json_type(raw_payload, '{path}') = 'ARRAY' THEN json_extract_string(raw_payload, '{path}[0]') ELSE json_extract_string(raw_payload, '{path}') END)), '')"""
-
-    return "coalesce(" + ", ".join(x for m in members for x in (one(f"$.{m}"), one(f"$.volumeInfo.{m}"))) + ")"
+def _member_sql(names: str) -> str:
+    """The text of the first of the members that has a value, at the top level if it is there, else in volumeInfo."""
+    picks = []
+    for name in names.split():
+        found = f"(CASE WHEN list_contains(json_keys(p), '{name}') THEN json_extract(p, '$.{name}') ELSE json_extract(p, '$.volumeInfo.{name}') END)"
+        picks.append(f"""CASE WHEN json_type({found}) IN ('NULL') OR {found}::VARCHAR IN ('""', '[]') THEN NULL
+            WHEN json_type({found}) = 'ARRAY' THEN coalesce(lower(trim(json_extract_string({found}, '$[0]'))), 'null') ELSE lower(trim(json_extract_string({found}, '$'))) END""")
+    return f"nullif(coalesce({', '.join(picks)}), 'null')"
 
 
-_VALUES = "vals AS (SELECT book_id, source, " + ", ".join(f"{_readable_sql(m)} AS {f}" for f, m in contested.COMPARED.items()) + " FROM book_sources)"
-_COUNTS = f"""{_VALUES}, counts AS (SELECT book_id, count(DISTINCT source) AS n_sources, ({' + '.join(f'(count(DISTINCT {f}) > 1)::INT' for f in contested.COMPARED)}) AS conflicts FROM vals GROUP BY book_id)"""
+_COUNTS = f"""vals AS (SELECT book_id, source, {_member_sql('title')} AS a, {_member_sql('published first_publish_year publish_date publishedDate')} AS b, {_member_sql('publisher publishers')} AS c,
+      {_member_sql('page_count number_of_pages number_of_pages_median pageCount')} AS d FROM (SELECT *, raw_payload::JSON AS p FROM book_sources WHERE json_valid(raw_payload))),
+    counts AS (SELECT book_id, count(DISTINCT source) AS n_sources, (count(DISTINCT a) > 1)::INT + (count(DISTINCT b) > 1)::INT + (count(DISTINCT c) > 1)::INT + (count(DISTINCT d) > 1)::INT AS conflicts FROM vals GROUP BY book_id)"""
 
 
 @query(f"WITH {_COUNTS} SELECT * FROM counts")

@@ -11,8 +11,6 @@ Every step is a set operation over the batch: keyed joins, partial aggregates, f
 from __future__ import annotations
 
 import json
-import os
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 from quire.functions import identity, numbers, text
 from quire.operators import mapping, merge, upsert
 from quire.session import cut_lineage
+from quire.sources.files import Files
 
 SCHEMAS = {
     "books": "book_id bigint, identity_key string, isbn13 string, title string, normalised_title string, subtitle string, published_year smallint, page_count int, language string, "
@@ -43,8 +42,8 @@ class Catalogue:
         self.spark, self.folder = spark, folder
 
     def version(self) -> int:
-        pointer = Path(self.folder) / "CURRENT"
-        return json.loads(pointer.read_text())["version"] if pointer.exists() else 0
+        files, pointer = Files(self.spark), f"{self.folder}/CURRENT"
+        return json.loads(files.read_text(pointer))["version"] if files.exists(pointer) else 0
 
     def tables(self) -> dict[str, DataFrame]:
         at = self.version()
@@ -57,10 +56,7 @@ class Catalogue:
         at = self.version() + 1
         for name, frame in tables.items():
             frame.write.mode("overwrite").parquet(f"{self.folder}/version={at}/{name}")
-        os.makedirs(self.folder, exist_ok=True)
-        pointer = Path(self.folder) / "CURRENT.partial"
-        pointer.write_text(json.dumps({"version": at}))
-        os.replace(pointer, Path(self.folder) / "CURRENT")
+        Files(self.spark).write_text(f"{self.folder}/CURRENT", json.dumps({"version": at}))
         return at
 
     def load(self, observations: DataFrame, now: Column) -> int:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import os
-import shutil
-from pathlib import Path
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import numbers
+from quire.session import cut_lineage
+from quire.sources.files import Files
 
 EDITION = "/type/edition"
 
@@ -29,29 +31,61 @@ def verify_checksum(path: str | os.PathLike[str], expected: str) -> None:
         raise ValueError(f"{path}: checksum {digest.hexdigest()}, expected {expected}")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """line (from 1), value: the lines of one file in order.
+
+    A file is read as ranges in order; each range adds the lines of those before it, which one number per range tells.
+    """
+    lines = spark.read.option("ignoreCorruptFiles", "false").text(path)
+    at = F.monotonically_increasing_id()
+    marked = lines.select("value", F.spark_partition_id().alias("part"), (at - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("at"), F.col("_metadata.file_block_start").alias("start"))
+    with truncation_told():
+        sizes = sorted((r["start"], r["part"], r["n"]) for r in marked.groupBy("start", "part").agg(F.count("*").alias("n")).collect())
+    offsets, total = {}, 0
+    for _, part, n in sizes:
+        offsets[part] = total
+        total += n
+    before = F.element_at(F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair]), F.col("part")) if offsets else F.lit(0)
+    return marked.select((before + F.col("at") + 1).cast("long").alias("line"), "value")
+
+
 def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     """line, doc: rows of five tab-separated columns whose type is an edition's; malformed rows cost only themselves.
 
     A truncated or corrupt file fails the scan (``ignoreCorruptFiles`` is off), see ``guarded``.
     """
     columns = F.split("value", "\t", -1)
-    lines = spark.read.option("ignoreCorruptFiles", "false").text(path)
-    rows = lines.select("value", columns.alias("c")).where((F.size("c") == 5) & (F.get("c", F.lit(0)) == EDITION))
-    return rows.select("value", F.try_parse_json(F.get("c", F.lit(4))).alias("doc")).where("doc is not null")
+    rows = numbered_lines(spark, path).select("line", columns.alias("c")).where((F.size("c") == 5) & (F.get("c", F.lit(0)) == EDITION))
+    return rows.select("line", F.try_parse_json(F.get("c", F.lit(4))).alias("doc")).where("doc is not null")
 
 
-def guarded(frame: DataFrame) -> DataFrame:
-    """Materialise a scan; what a broken compressed stream raises becomes ``TruncatedDumpError``."""
-    from quire.session import cut_lineage
+def dump_slice(candidates: DataFrame, lines: int, start_line: int = 1, most: int | None = None) -> tuple[DataFrame, dict[str, int | bool]]:
+    """(slice, outcome): candidates (with ``line``) from ``start_line`` on, ``most`` of them, and where to go on: emitted,
+    next_line, exhausted; ``lines`` is the number of lines of the dump. A cap that is just reached is not the end."""
+    later = candidates.where(F.col("line") >= start_line).orderBy("line")
+    part = later if most is None else later.limit(most)
+    told = part.agg(F.count("*").alias("n"), F.max("line").alias("last")).first()
+    capped = most is not None and told["n"] >= most
+    return part, {"emitted": told["n"], "next_line": (told["last"] or start_line - 1) + 1 if capped else lines + 1, "exhausted": not capped}
+
 
+@contextmanager
+def truncation_told() -> Iterator[None]:
+    """What a broken compressed stream raises inside becomes ``TruncatedDumpError``."""
     try:
-        return cut_lineage(frame)
+        yield
     except Exception as error:
         if any(word in str(error) for word in ("EOFException", "ZipException", "unexpected end of", "not in gzip", "incorrect header", "Unexpected end of")):
             raise TruncatedDumpError(str(error).splitlines()[0][:300]) from error
         raise
 
 
+def guarded(frame: DataFrame) -> DataFrame:
+    """Materialise a scan in the shared folder, so that a truncated file fails here and not amid its use."""
+    with truncation_told():
+        return cut_lineage(frame)
+
+
 def _strings(doc: Column, path: str) -> Column:
     return F.coalesce(F.try_variant_get(doc, path, "array<string>"), F.array().cast("array<string>"))
 
@@ -67,7 +101,7 @@ def dump_candidates(rows: DataFrame, languages: list[str] | None = None) -> Data
     title = F.trim(F.try_variant_get(doc, "$.title", "string"))
     authors = F.array_compact(F.array(F.regexp_replace(F.regexp_replace(F.trim(F.try_variant_get(doc, "$.by_statement", "string")), r"(?i)^(?:by|par|von|de)\b[\s.]*", ""), r"\.+$", "")))
     listed = rows.select(
-        F.element_at(F.split(F.try_variant_get(doc, "$.key", "string"), "/"), -1).alias("candidate_key"), title.alias("title"),
+        *[c for c in ("line",) if c in rows.columns], F.element_at(F.split(F.try_variant_get(doc, "$.key", "string"), "/"), -1).alias("candidate_key"), title.alias("title"),
         F.filter(authors, lambda a: F.length(a) > 0).alias("authors"), numbers.isbns13(F.concat(_strings(doc, "$.isbn_13"), _strings(doc, "$.isbn_10"))).alias("isbns"),
         F.try_element_at(_keys(doc, "$.works"), F.lit(1)).alias("work_key"), _keys(doc, "$.languages").alias("languages"), F.to_json(doc).alias("discovery_payload"),
     )
@@ -110,11 +144,20 @@ def export_profile(records: DataFrame) -> DataFrame:
     ident = F.length(F.trim(F.try_variant_get("record", "$.goodreadsId", "string"))) > 0
     title = F.length(F.trim(F.try_variant_get("record", "$.title", "string"))) > 0
     has_id, has_title = F.coalesce(ident, F.lit(False)), F.coalesce(title, F.lit(False))
-    names = F.flatten(F.collect_set(F.array_sort(F.json_object_keys(F.to_json("record")))))
-    return records.agg(
-        F.count("*").alias("total"), F.count_if(has_id & has_title).alias("usable"), F.count_if(~has_id).alias("missing_id"), F.count_if(~has_title).alias("missing_title"),
-        F.slice(F.array_sort(F.array_distinct(names)), 1, 12).alias("members"),
-    )
+    counted = records.agg(F.count("*").alias("total"), F.count_if(has_id & has_title).alias("usable"), F.count_if(~has_id).alias("missing_id"), F.count_if(~has_title).alias("missing_title"))
+    # Distinct names are found before anything is gathered, and twelve of them are kept.
+    names = records.select(F.explode(F.json_object_keys(F.to_json("record"))).alias("name")).distinct().orderBy("name").limit(12)
+    members = names.agg(F.array_sort(F.collect_list("name")).alias("members"))
+    return counted.withColumn("members", members.scalar())
+
+
+def explain_profile(profile: DataFrame) -> DataFrame:
+    """message: what an operator is told about an export without usable records; no row if it has some."""
+    seen = F.array_join("members", ", ")
+    reason = F.when(F.col("total") == 0, F.lit("the export holds no records")).when(
+        F.col("usable") == 0, F.concat(F.lit("none of "), F.col("total").cast("string"), F.lit(" records has an id and a title; members seen: "), seen)
+    )
+    return profile.select(reason.alias("message")).where("message is not null")
 
 
 def listing_candidates(pages: DataFrame, most_authors: int = 5, most_languages: int = 3) -> DataFrame:
@@ -141,33 +184,25 @@ def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write_manifest(candidates: DataFrame, path: str, order: str) -> str:
     """Candidates as JSON lines with sorted members, ordered, in one file that appears whole or not at all.
 
-    Returns the file's SHA-256. The part files are concatenated by the driver as a stream, so size is no matter of memory.
+    Returns the file's SHA-256. The part files, on whatever file system the path names, are concatenated as a stream.
     """
     columns = F.to_json(F.struct(*[F.col(c) for c in sorted(candidates.columns)]))
-    target, part = Path(path), Path(f"{path}.partial")
-    parts = Path(f"{path}.parts")
-    digest = hashlib.sha256()
+    files, parts = Files(candidates.sparkSession), f"{path}.parts"
     try:
-        candidates.orderBy(order).select(columns.alias("value")).write.mode("overwrite").text(str(parts))
-        with part.open("wb") as out:
-            for piece in sorted(parts.glob("part-*")):
-                with piece.open("rb") as source:
-                    while block := source.read(1 << 20):
-                        digest.update(block)
-                        out.write(block)
-        os.replace(part, target)
+        candidates.orderBy(order).select(columns.alias("value")).write.mode("overwrite").text(parts)
+        return files.concatenate([name for name in files.names(parts) if name.rsplit("/", 1)[-1].startswith("part-")], path)
     finally:
-        part.unlink(missing_ok=True)
-        shutil.rmtree(parts, ignore_errors=True)
-    return digest.hexdigest()
-
-
-def source_frame(spark: SparkSession, manifest: str, dump: str, languages: list[str] | None = None) -> DataFrame:
-    """Candidates of the manifest if there is one, else of the dump, else an error."""
-    if os.path.exists(manifest):
-        return read_manifest(spark, manifest, "candidate_key string, title string, authors array<string>, isbns array<string>, languages array<string>")
-    if os.path.exists(dump):
-        return dump_candidates(scan_dump(spark, dump), languages)
-    raise FileNotFoundError(f"neither {manifest} nor {dump}")
-
-
+        files.delete(f"{path}.partial")
+        files.delete(parts)
+
+
+def source_frame(spark: SparkSession, manifest: str, dump: str, languages: list[str] | None = None, most: int | None = None) -> DataFrame:
+    """Candidates of the manifest if there is one, else of the dump, else an error; ``most`` of them by their order."""
+    files = Files(spark)
+    if files.exists(manifest):
+        found = read_manifest(spark, manifest, "candidate_key string, title string, authors array<string>, isbns array<string>, languages array<string>")
+    elif files.exists(dump):
+        found = dump_candidates(scan_dump(spark, dump), languages)
+    else:
+        raise FileNotFoundError(f"neither {manifest} nor {dump}")
+    return found if most is None else found.orderBy("line" if "line" in found.columns else "candidate_key").limit(most)

@@ -59,6 +59,13 @@ def test_merge_is_ranked_and_order_independent(spark):
 
 def test_conflicting_isbns_are_not_merged(spark):
     rows = [{"record_id": i, "source": "goodreads", "source_id": str(i), "title": "Key", "isbns": [c]} for i, c in enumerate(["9780306406157", "9780804429573"])]
+    other = [{"record_id": i, "source": "goodreads", "source_id": str(i), "title": t} for i, t in enumerate(["Moby Dick", "Pride"])]
+    clean = merge.canonicalise(raw(spark, other)).withColumn("b", F.lit(1)).withColumn("kept", F.lit("isbn:9780306406157"))
+    assert merge.merge(clean, "b").collect()[0]["conflict"]
+    led = merge.merge(clean, "b", "kept").collect()[0]
+    assert (led["conflict"], led["identity_key"], led["isbn13"], led["title"]) == (False, "isbn:9780306406157", "9780306406157", "Moby Dick")
+    clash = merge.canonicalise(raw(spark, rows)).where("record_id = 1").withColumn("b", F.lit(1)).withColumn("kept", F.lit("isbn:9780306406157"))
+    assert merge.merge(clash, "b", "kept").collect()[0]["conflict"]
     got = merge.merge(merge.canonicalise(raw(spark, rows)).withColumn("b", F.lit(1)), "b").collect()[0]
     assert got["conflict"] and got["title"] is None and merge.merge(merge.canonicalise(raw(spark, [])).withColumn("b", F.lit(1)), "b").count() == 0
 
@@ -84,9 +91,13 @@ def test_components(spark):
 
 
 def test_contested(spark):
-    rows = [(1, "openlibrary", '{"title": "A", "number_of_pages": 3}'), (1, "googlebooks", '{"volumeInfo": {"title": "a ", "pageCount": 4}}'), (2, "goodreads", "{broken"), (2, "gutendex", None)]
+    rows = [
+        (1, "openlibrary", '{"title": "A", "number_of_pages": 3}'), (1, "googlebooks", '{"volumeInfo": {"title": "a ", "pageCount": 4}}'), (2, "goodreads", "{broken"), (2, "gutendex", None),
+        (3, "a", '{"published": 1900}'), (3, "b", '{"published": 1950}'), (4, "a", '{"title": null, "volumeInfo": {"title": "x"}}'), (4, "b", '{"title": "y"}'),
+        (5, "a", '{"publisher": [], "publishers": ["P"]}'), (5, "b", '{"publisher": "q", "volumeInfo": {"publisher": "p"}}'), (6, "a", '{"published_year": 1}'), (6, "b", '{"published_year": 2}'),
+    ]
     counts = {r["book_id"]: r["conflicts"] for r in contested.conflict_counts(spark.createDataFrame(rows, "book_id bigint, source string, raw_payload string")).collect()}
-    assert counts == {1: 1, 2: 0}
+    assert counts == {1: 1, 2: 0, 3: 1, 4: 0, 5: 1, 6: 0}
 
 
 def test_breaker_and_budget(spark):
@@ -107,7 +118,11 @@ def test_dump_scan(spark, tmp_path):
     path = tmp_path / "dump.txt.gz"
     path.write_bytes(gzip.compress("\n".join(lines).encode()))
     got = readers.dump_candidates(readers.scan_dump(spark, str(path)), ["eng"])
-    assert sorted(r["candidate_key"] for r in got.collect()) == ["O1", "O2"]
+    assert [(r["candidate_key"], r["line"]) for r in got.orderBy("line").collect()] == [("O1", 1), ("O2", 2)]
+    part, outcome = readers.dump_slice(got, len(lines), 1, 1)
+    assert [r["candidate_key"] for r in part.collect()] == ["O1"] and outcome == {"emitted": 1, "next_line": 2, "exhausted": False}
+    part, outcome = readers.dump_slice(got, len(lines), 2)
+    assert [r["candidate_key"] for r in part.collect()] == ["O2"] and outcome == {"emitted": 1, "next_line": len(lines) + 1, "exhausted": True}
     broken = tmp_path / "broken.txt.gz"
     broken.write_bytes(gzip.compress(("\n".join(lines) * 4000).encode())[:2000])
     with pytest.raises(readers.TruncatedDumpError):
@@ -122,6 +137,8 @@ def test_export_and_manifest(spark, tmp_path):
     assert (profile["total"], profile["usable"], profile["missing_id"]) == (2, 1, 1) and "author" in profile["members"]
     made = [r[0] for r in records.select(readers.export_payload(F.col("record"))).collect()]
     assert json.loads(made[0])["authors"] == ["A", "B"] and made[1] is None
+    assert readers.explain_profile(readers.export_profile(records)).count() == 0
+    assert "members seen: " in readers.explain_profile(readers.export_profile(records.where("record_no = 1"))).collect()[0][0]
     out = str(tmp_path / "manifest.jsonl")
     digest = readers.write_manifest(spark.createDataFrame([("b", "2"), ("a", "1")], "candidate_key string, title string"), out, "candidate_key")
     readers.verify_checksum(out, digest.upper())

@@ -12,17 +12,17 @@ def run(spark, make, values, kind="string"):
 
 
 def test_fold_and_titles(spark):
-    values = ["  The “Key”—x ", "Straße", "é", "é", "", "   ", None]
-    assert run(spark, text.title_form, values) == ['the "key"-x', "strasse", "é", "é", None, None, None]
+    values = ["„Der Turm“ ‒ x", "  The “Key”—x ", "Straße", "é", "é", "", "   ", None]
+    assert run(spark, text.title_form, values) == ['"der turm" ‒ x', 'the "key"-x', "strasse", "é", "é", None, None, None]
 
 
 def test_author_forms(spark):
-    values = ["Vega, Ana, 1857-1940", "Vega, Ana", "a, b, c", "É. Zola", "M. Ø.", " ", None, "Ana Vega (b. 1900)"]
-    assert run(spark, text.author_form, values) == ["ana vega", "ana vega", "a b c", "e zola", "m ø", None, None, "ana vega"]
+    values = ["Vega, Ana, 1857-1940", "Vega, Ana", "a, b, c", "É. Zola", "M. Ø.", " ", None, "Ana Vega (b. 1900)", "O'Brien, Flann", "de Saint-Exupéry, Antoine", "Agent 007", "Verne, Jules, 1828–1905", "Vega,", "Ana Vega 1900-"]
+    assert run(spark, text.author_form, values) == ["ana vega", "ana vega", "a b c", "e zola", "m ø", None, None, "ana vega b 1900", "flann o'brien", "antoine de saint-exupery", "agent 007", "jules verne", "vega", "ana vega"]
 
 
 def test_marc_and_html(spark):
-    assert run(spark, text.strip_marc, ["Key $b a tale", "cost $5", None]) == ["Key a tale", "cost $5", None]
+    assert run(spark, text.strip_marc, ["Key $b a tale", "cost $5", "A$AP  x", "$b ", None]) == ["Key a tale", "cost $5", "A$AP  x", None, None]
     html = ["<p>One.</p><p>Two &amp; three.Four</p>", "a<br/>b", "&lt;b&gt;", "x\n\n\n\ny", "<p> </p>", None]
     assert run(spark, text.html_text, html) == ["One.\n\nTwo & three. Four", "a\nb", "<b>", "x\n\ny", None, None]
 
@@ -54,8 +54,8 @@ def test_numbers(spark):
 
 
 def test_languages_and_keys(spark):
-    lists = [["en"], ["eng", "en"], ["en", "fr"], ["zzz"], [], None, ["fre"]]
-    assert run(spark, identity.select_language, lists, "array<string>") == ["eng", "eng", None, None, None, None, "fra"]
+    lists = [["en"], ["eng", "en"], ["en", "fr"], ["zzz"], [], None, ["fre"], ["swa"], ["Ben "], ["hau"], ["e1"], ["grc", "xx"]]
+    assert run(spark, identity.select_language, lists, "array<string>") == ["eng", "eng", None, None, None, None, "fra", "swa", "ben", "hau", None, "grc"]
     frame = spark.createDataFrame([("t", None, 1), ("t", "", 1), ("", "a", 1), (None, "a", 1), ("t", "1", None)], "t string, a string, y int")
     keys = [r[0] for r in frame.select(identity.fallback_key(F.col("t"), F.col("a"), F.col("y"))).collect()]
     assert keys[0] == keys[1] and keys[2] is None and keys[3] is None and keys[4] != keys[0]
@@ -64,15 +64,17 @@ def test_languages_and_keys(spark):
 
 
 def test_similarity(spark):
-    frame = spark.createDataFrame([("The Key", "the key"), ("a b c", "b c d"), ("abc", "abd"), ("", "x"), (None, "x")], "a string, b string")
+    frame = spark.createDataFrame([("The Key", "the key"), ("a b c", "b c d"), ("abc", "abd"), ("", "x"), (None, "x"), ("戦争", "戦車"), ("戦争", "戦争"), ("Dune", "Dune Messiah")], "a string, b string")
     got = [r[0] for r in frame.select(similarity.similarity(F.col("a"), F.col("b"))).collect()]
-    assert got[0] == 1.0 and got[1] == pytest.approx(2 * 2 / 6) and got[2] == pytest.approx(0.5 * 2 * 2 / 6) and got[3] == 0.0 and got[4] is None
+    assert got[0] == 1.0 and got[1] == pytest.approx(2 * 2 / 6) and got[2] == pytest.approx(0.5 * 2 * 2 / 6) and got[3:7] == [0.0, 0.0, 0.0, 0.0] and got[7] == pytest.approx(2 / 3)
 
 
 def test_series_and_covers(spark):
-    frame = spark.createDataFrame([("Key (Saga, #2.5)", "Key"), ("Key (Paperback, #1)", "Key"), ("Key (Saga, #1)", ""), (None, None)], "t string, b string")
-    got = [r[0] and tuple(r[0]) for r in frame.select(similarity.title_series(F.col("t"), F.col("b"))).collect()]
-    assert got == [("Saga", "2.5"), None, None, None]
-    assert run(spark, similarity.cover, ["http://x/a._SX98_.jpg", "https://x/nophoto.png", None]) == ["https://x/a.jpg", None, None]
+    titles = ["Key (Saga, #2.5)", "Some Book (Some Series)", "Key (Paperback, #1)", "Key (Omnibus)", "Key (1999)", "(Saga, #1)", "Key (Saga, #1.2.3)", "Key", None]
+    got = [r and tuple(r) for r in run(spark, similarity.title_series, titles)]
+    assert got == [("Saga", "2.5", "Key"), ("Some Series", None, "Some Book"), None, None, None, None, ("Saga", None, "Key"), None, None]
+    covers = ["http://x/a._SX98_.jpg", "https://x/nophoto.png", "https://x/no-photo/1.jpg", "https://x/NO_PHOTO.jpg", "https://x/no-cover.jpg", "", None]
+    assert run(spark, similarity.cover, covers) == ["https://x/a.jpg", None, None, None, "https://x/no-cover.jpg", None, None]
+    assert run(spark, lambda c: similarity.series_id(c, F.lit("The Loom Cycle")), ["/series/12-the-loom-cycle", "/series/12", "/series/12-other", "/book/1", None]) == ["12", "12", None, None, None]
     assert [tuple(x) for x in run(spark, similarity.split_by_author, ["Stand by Me by Ana", "Alone"])] == [("Stand by Me", "Ana"), ("Alone", None)]
-    assert [x and tuple(x) for x in run(spark, similarity.aria_series, ["Book 2 in the Loom series", "x", None])] == [("Loom", "2"), None, None]
+    assert [x and tuple(x) for x in run(spark, similarity.aria_series, ["Book 2 in the Loom series", "See Book 2.5 in the Loom series now", "Book . in the Loom series", "x", None])] == [("Loom", "2"), ("Loom", "2.5"), ("Loom", None), None, None]
