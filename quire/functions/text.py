@@ -11,10 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Punctuation folded before comparison (fixed values): single and double quotes, dashes, ellipsis, no-break space.
+#: Punctuation folded before comparison (fixed values): single and double quotes, dashes, no-break space.
 PUNCTUATION = {
-    "‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"',
-    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", " ": " ",
+    "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u201c": '"', "\u201d": '"', "\u201e": '"',
+    "\u2013": "-", "\u2014": "-", "\u2010": "-", "\u2011": "-", "\u00a0": " ",
 }
 #: White space as Unicode has it, with the separators U+001C to U+001F.
 SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
