@@ -2,12 +2,12 @@
 
 The list, with the paths under which its entries are also written (aliases, singulars, scanning confusions), is a trie.
 An entry is cut at its separators, its added forms, shelf words and inversions are undone, and each piece is searched
-in the trie with a Levenshtein automaton: the automaton's states (one row of edit distances, adjacent swaps counting
+in the trie with a Levenshtein automaton: the automaton's states (a bit vector per number of edits, adjacent swaps counting
 once) are carried down the trie, and a branch is left as soon as no state is within the distance that the piece's
 length allows. The search returns all entries within that distance; the nearest is the piece's meaning.
 
-The trie is read by every Python worker, so the list is bounded: more than ``MOST_TERMS`` entries are an error. Entries
-stream through the workers without a shuffle, and each worker keeps what it has already resolved.
+The trie is read by every Python worker, so the list is bounded: more than ``MOST_TERMS`` entries are an error. Only
+distinct texts pass the workers.
 
 Defined results: null and blank entries, and entries of no list (null or empty lists), stand for nothing; a list's entry
 is addressed by its position from 0; a record fetched again counts once; ties go to the smallest term id.
@@ -17,91 +17,24 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm import thesaurus
+from quire.operators import skew
+
 MOST_TERMS = 100_000
 #: Resolved spellings a worker remembers before it starts afresh.
 REMEMBERED = 200_000
 
-#: Other names of listed subjects (fixed values): alias -> term, both in comparable form.
-ALIASES = {
-    "apiculture": "beekeeping",
-    "bee culture": "beekeeping",
-    "keeping bees": "beekeeping",
-    "tales of ghosts": "ghost stories",
-    "haunted house tales": "ghost stories",
-    "whodunits": "detective and mystery stories",
-    "murder mysteries": "detective and mystery stories",
-    "crime and detection": "detective and mystery stories",
-    "detective fiction": "detective and mystery stories",
-    "sf": "science fiction",
-    "sci fi": "science fiction",
-    "scifi novels": "science fiction",
-    "science fiction romances": "science fiction",
-    "cookery": "cooking",
-    "cookbooks": "cooking",
-    "recipes": "cooking",
-    "gartenbau": "gardening",
-    "jardinage": "gardening",
-    "paleontology": "fossils",
-    "mycology": "mushrooms",
-    "fungi edible": "mushrooms",
-    "alpinism": "mountaineering",
-    "mountain climbing": "mountaineering",
-    "train travel": "railroad travel",
-    "railway journeys": "railroad travel",
-    "weather science": "meteorology",
-    "ocean science": "oceanography",
-    "dress design": "fashion design",
-    "photos and photographers": "photography",
-    "cycling tours": "bicycle touring",
-    "study of insects": "entomology",
-    "insect study": "entomology",
-    "study of birds": "ornithology",
-    "bird study": "ornithology",
-    "midwives and birth attendance": "midwifery",
-    "ship construction": "shipbuilding",
-    "dictionary making": "lexicography",
-    "marionettes": "puppet theater",
-    "puppetry": "puppet theater",
-    "herbal remedies": "medicinal plants",
-    "healing herbs": "medicinal plants",
-    "bringing up children": "child rearing",
-    "parenting": "child rearing",
-    "automata": "robots",
-    "androids": "robots",
-    "plagues": "epidemics",
-    "pandemics": "epidemics",
-    "aeronautics": "aviation",
-    "flying": "aviation",
-    "stamp collecting": "postage stamps",
-    "philately": "postage stamps",
-    "bibliotheques": "libraries",
-    "bibliotheken": "libraries",
-    "comic writing": "wit and humor",
-    "humour": "wit and humor",
-    "spaceflight": "space travel",
-    "interplanetary voyages": "space travel",
-    "family trees": "genealogy",
-    "ciphers": "cryptography",
-    "secret codes": "cryptography",
-    "numismatics": "coins",
-    "coin collecting": "coins",
-    "viniculture": "wine making",
-    "ancestry research": "genealogy",
-    "secret agent novels": "spy stories",
-    "espionage fiction": "spy stories",
-    "naval shipbuilding yards": "shipbuilding",
-}
 #: Words added to a subject as a form, which are words of subjects as well (fixed values).
 FORMS = {"history", "fiction", "bibliography", "travel", "literature", "works"}
-#: What scanning turns letters into (fixed values).
-CONFUSIONS = (("m", "rn"), ("rn", "m"), ("li", "h"), ("l", "1"), ("o", "0"), ("d", "cl"), ("w", "vv"), ("i", "l"), ("in", "m"), ("c", "e"), ("h", "li"))
+#: Groups of letters that scanning takes for others (fixed values); single letters are within the distance anyway.
+CONFUSIONS = (("m", "rn"), ("rn", "m"), ("d", "cl"), ("cl", "d"), ("w", "vv"), ("h", "li"), ("li", "h"), ("in", "m"))
 
 
 def comparable(text: str) -> str:
@@ -130,90 +63,95 @@ def singulars(term: str) -> set[str]:
 
 
 class Trie:
-    """Paths of a canonical list; every path ends in (term, exactness)."""
+    """Paths of a canonical list; a path ends in all terms that are written so, each with a penalty."""
 
-    def __init__(self, terms: list[tuple[int, str]], aliases: dict[str, str] | None = None) -> None:
+    def __init__(self, terms: list[tuple[int, str]], aliases: Iterable[tuple[str, str]] = ()) -> None:
         self.root: dict = {}
         self.memo: dict[str, list[tuple[int, int]]] = {}
-        by_form: dict[str, int] = {}
+        by_form: dict[str, list[int]] = {}
         for term_id, term in sorted(terms):
-            by_form.setdefault(comparable(term), term_id)
-        self.words = {comparable(term): tuple(comparable(w) for w in term.split() if comparable(w)) for _, term in terms}
-        self.vocabulary = {w for words in self.words.values() for w in words} - FORMS
-        self.terms = by_form
-        self.paths: dict[str, tuple[int, int]] = {}
-        for form, term_id in by_form.items():
-            self.add(form, term_id, 0)
-        for alias, form in (aliases or {}).items():
-            if form in by_form:
-                self.add(alias, by_form[form], 0)
-        for form, term_id in by_form.items():
+            if comparable(term):
+                by_form.setdefault(comparable(term), []).append(term_id)
+        words = {form: tuple(form.split()) for form in by_form}
+        self.vocabulary = {w for term in words.values() for w in term} - FORMS
+        self.paths: dict[str, list[tuple[int, int]]] = {}
+        for form, ids in by_form.items():
+            self.add(form, ids, 0)
+        for alias, term in aliases:
+            if comparable(term) in by_form and comparable(alias):
+                self.add(comparable(alias), by_form[comparable(term)], 0)
+        for form, ids in by_form.items():
             for path in singulars(form):
-                self.add(path, term_id, 0)
+                self.add(path, ids, 0)
             for right, wrong in CONFUSIONS:
                 for at in [m.start() for m in re.finditer(right, form)]:
-                    self.add(form[:at] + wrong + form[at + len(right) :], term_id, 1)
-
-    def add(self, path: str, term: int, penalty: int) -> None:
-        if self.paths.get(path, (0, 9))[1] <= penalty:
-            return
-        self.paths[path] = (term, penalty)
+                    self.add(form[:at] + wrong + form[at + len(right) :], ids, 1)
+        # Terms by their number of words and how the first begins, for abbreviated names.
+        self.short: dict[tuple[int, str], list[tuple[tuple[str, ...], list[int]]]] = {}
+        for form, term in words.items():
+            for begin in {term[0][:3], term[0]}:
+                self.short.setdefault((len(term), begin), []).append((term, by_form[form]))
+
+    def add(self, path: str, ids: list[int], penalty: int) -> None:
+        held = dict((t, p) for p, t in self.paths.get(path, []))
+        for term in ids:
+            held[term] = min(penalty, held.get(term, penalty))
+        self.paths[path] = sorted((p, t) for t, p in held.items())
         node = self.root
         for letter in path:
             node = node.setdefault(letter, {})
-        node[""] = (term, penalty, len(path))
+        node[""] = (len(path), self.paths[path])
 
     def search(self, text: str) -> list[tuple[int, int]]:
-        """All (distance, term) within the distance that the text's length allows, nearest first."""
+        """All (distance, term) within the distance that the text's length allows, nearest first.
+
+        The automaton's state is one bit vector per number of edits: bit j is set if the path so far can be made of the
+        first j letters of the text with so many edits. A step costs a few operations on whole numbers.
+        """
         if text in self.memo:
             return self.memo[text]
         limit, n = allowed_distance(len(text)), len(text)
-        far = limit + 1
-        best: dict[int, int] = {}
-        if text in self.paths:
-            term, penalty = self.paths[text]
-            best[term] = penalty
-        first = [j if j <= limit else far for j in range(n + 1)]
-        stack = [(self.root, "", 0, first, None)] if limit else []
-        while stack:
-            node, last, depth, row, before = stack.pop()
-            depth += 1
-            low, high = max(1, depth - limit), min(n, depth + limit)
-            for letter, child in node.items():
-                if letter == "":
-                    term, penalty, length = child
-                    distance = row[n] + penalty
-                    if row[n] <= min(limit, allowed_distance(length)) and distance <= limit and distance < best.get(term, 9):
-                        best[term] = distance
-                    continue
-                # One row of the automaton: only cells within ``limit`` of the diagonal can still accept.
-                after = [far] * (n + 1)
-                after[0] = least = min(depth, far)
-                for j in range(low, high + 1):
-                    cost = row[j - 1] if text[j - 1] == letter else row[j - 1] + 1
-                    if after[j - 1] < cost - 1:
-                        cost = after[j - 1] + 1
-                    if row[j] < cost - 1:
-                        cost = row[j] + 1
-                    if before and j > 1 and text[j - 1] == last and text[j - 2] == letter and before[j - 2] < cost - 1:
-                        cost = before[j - 2] + 1
-                    if cost < far:
-                        after[j] = cost
-                        if cost < least:
-                            least = cost
-                if least <= limit:
-                    stack.append((child, letter, depth, after, row))
+        best: dict[int, int] = {t: p for p, t in self.paths.get(text, [])}
+        if limit:
+            whole, accept = (1 << n + 1) - 1, 1 << n
+            places: dict[str, int] = {}
+            for j, letter in enumerate(text):
+                places[letter] = places.get(letter, 0) | 1 << j
+            edits = range(1, limit + 1)
+            start = [(1 << k + 1) - 1 & whole for k in range(limit + 1)]
+            stack = [(self.root, 0, start, [0] * limit)]
+            while stack:
+                node, last, row, before = stack.pop()
+                for letter, child in node.items():
+                    if letter == "":
+                        length, ends = child
+                        most = min(limit, allowed_distance(length))
+                        near = next((k for k in range(most + 1) if row[k] & accept), None)
+                        if near is not None:
+                            for penalty, term in ends:
+                                if near + penalty <= limit and near + penalty < best.get(term, 9):
+                                    best[term] = near + penalty
+                        continue
+                    at = places.get(letter, 0)
+                    new = [(row[0] & at) << 1]
+                    for k in edits:
+                        # A match, a letter too many, another letter, a letter too few, two letters swapped.
+                        fewer = row[k - 1]
+                        new.append(((row[k] & at) << 1 | fewer | fewer << 1 | new[k - 1] << 1 | (before[k - 1] & at & last >> 1) << 2) & whole)
+                    if new[limit]:
+                        stack.append((child, at, new, row))
         if len(self.memo) >= REMEMBERED:
             self.memo.clear()
         self.memo[text] = sorted((d, t) for t, d in best.items())
         return self.memo[text]
 
-    def abbreviated(self, words: list[str]) -> list[tuple[int, int]]:
+    def abbreviated(self, words: list[str]) -> set[int]:
         """Terms whose words begin, one by one, with the given words (three letters at least, or the whole word)."""
         fits = lambda short, word: word == short or len(short) >= 3 and word.startswith(short)
-        return sorted(
-            (0, self.terms[form]) for form, term in self.words.items() if len(term) == len(words) > 1 and all(map(fits, words, term))
-        )
+        if len(words) < 2:
+            return set()
+        found = self.short.get((len(words), words[0][:3]), []) if len(words[0]) >= 3 else self.short.get((len(words), words[0]), [])
+        return {i for term, ids in found if all(map(fits, words, term)) for i in ids}
 
 
 _SHELF = re.compile(r"^(?:subject|topic|keyword)s?\s*:\s*", re.I)
@@ -229,7 +167,7 @@ def resolve(trie: Trie, entry: str) -> list[int]:
     def near(text: str, within: int = 2) -> int | None:
         form = comparable(text)
         if form in trie.paths:
-            return trie.paths[form][0]
+            return trie.paths[form][0][1]
         hits = trie.search(form) if form else []
         return hits[0][1] if hits and hits[0][0] <= within else None
 
@@ -242,8 +180,8 @@ def resolve(trie: Trie, entry: str) -> list[int]:
                 return hit
         if "." in piece:
             hits = trie.abbreviated([w for w in map(comparable, piece.split()) if w])
-            if len({t for _, t in hits}) == 1:
-                return hits[0][1]
+            if len(hits) == 1:
+                return next(iter(hits))
         return None
 
     whole = near(entry) if "--" in entry else None
@@ -257,7 +195,7 @@ def resolve(trie: Trie, entry: str) -> list[int]:
             # "Fairs, science" turns a name around; only added forms and places leave the first part as it stands, and whole
             # listed terms are each named by themselves.
             sides = piece.split(",")
-            listed = all(trie.paths.get(comparable(p), (0, 9))[1] == 0 for p in sides)
+            listed = all(trie.paths.get(comparable(p), [(9, 0)])[0][0] == 0 for p in sides)
             turned = hit is not None or comparable(tail) in trie.vocabulary and not listed
             parts = [hit] if turned else [name(p, 1) for p in sides]
         else:
@@ -266,17 +204,10 @@ def resolve(trie: Trie, entry: str) -> list[int]:
     return found
 
 
-def resolve_batches(batches: Iterator[pd.DataFrame], terms: list[tuple[int, str]], aliases: dict[str, str]) -> Iterator[pd.DataFrame]:
-    trie, known = Trie(terms, aliases), {}
+def resolve_batches(batches: Iterator[pd.DataFrame], terms: list[tuple[int, str]], aliases: list[tuple[str, str]]) -> Iterator[pd.DataFrame]:
+    trie = Trie(terms, aliases)
     for frame in batches:
-        out = []
-        for text in frame["entry"]:
-            if text not in known:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[text] = resolve(trie, text)
-            out.append(known[text])
-        frame["term_ids"] = out
+        frame["term_ids"] = [resolve(trie, text) for text in frame["entry"]]
         yield frame
 
 
@@ -286,22 +217,33 @@ def entries_of(records: DataFrame, source: str, record_id: str, values: str) ->
     return listed.where("entry is not null")
 
 
-def map_entries(entries: DataFrame, terms: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
-    """``entries`` with ``term_ids``: the listed terms each entry stands for, empty if it stands for none."""
-    listed = [(r["term_id"], r["term"]) for r in terms.where("term is not null").select("term_id", "term").limit(MOST_TERMS + 1).collect()]
-    if len(listed) > MOST_TERMS:
-        raise ValueError(f"a canonical list of more than {MOST_TERMS} entries")
-    columns = entries.select("source", "record_id", "entry_no", "entry")
-    schema = "source string, record_id string, entry_no int, entry string, term_ids array<bigint>"
-    return columns.mapInPandas(partial(resolve_batches, terms=listed, aliases=ALIASES if aliases is None else aliases), schema)
+def _bounded(table: DataFrame, first: str, second: str, what: str) -> list[tuple]:
+    rows = table.where(F.col(first).isNotNull() & F.col(second).isNotNull()).select(first, second).limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"{what} of more than {MOST_TERMS} entries")
+    return [tuple(r) for r in rows]
+
+
+def map_entries(entries: DataFrame, terms: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """``entries`` with ``term_ids``: the listed terms each entry stands for, empty if it stands for none.
+
+    ``aliases`` (alias, term) are other names of listed terms; without it those of ``thesaurus`` are used. Each distinct text
+    is resolved once, and the result joins the entries; a text that many entries share is spread over tasks.
+    """
+    listed = _bounded(terms, "term_id", "term", "a canonical list")
+    names = thesaurus.ALIASES if aliases is None else _bounded(aliases, "alias", "term", "a list of aliases")
+    columns = entries.select("source", "record_id", "entry_no", "entry").where("entry is not null")
+    texts = columns.select("entry").distinct()
+    resolved = texts.mapInPandas(partial(resolve_batches, terms=listed, aliases=names), "entry string, term_ids array<bigint>")
+    return skew.salted_join(resolved, columns, ["entry"]).select("source", "record_id", "entry_no", "entry", "term_ids")
 
 
-def canonical_terms(entries: DataFrame, terms: DataFrame) -> DataFrame:
+def canonical_terms(entries: DataFrame, terms: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """source, record_id, entry_no, term_id: once per entry and term, however often the record was fetched."""
-    return map_entries(entries, terms).select("source", "record_id", "entry_no", F.explode("term_ids").alias("term_id")).distinct()
+    return map_entries(entries, terms, aliases).select("source", "record_id", "entry_no", F.explode("term_ids").alias("term_id")).distinct()
 
 
-def unmatched(entries: DataFrame, terms: DataFrame) -> DataFrame:
+def unmatched(entries: DataFrame, terms: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """entry, n: entries that stand for no listed term, and in how many records each occurs."""
-    none = map_entries(entries, terms).where(F.size("term_ids") == 0)
+    none = map_entries(entries, terms, aliases).where(F.size("term_ids") == 0)
     return none.select("entry", "source", "record_id").distinct().groupBy("entry").agg(F.count("*").alias("n"))

@@ -4,7 +4,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 
-from quire.llm import canonical, linkage, mixing, stuffing, survivor
+from quire.llm import canonical, linkage, mixing, stuffing, survivor, thesaurus
 from quire.session import cut_lineage
 
 TERMS = [(1, "Beekeeping"), (2, "Sea stories"), (3, "Fairs"), (4, "Science fiction"), (5, "Banking"), (6, "Baking"), (7, "One-act plays"), (8, "Wit and humor"), (9, "Naval history")]
@@ -17,13 +17,13 @@ TERMS = [(1, "Beekeeping"), (2, "Sea stories"), (3, "Fairs"), (4, "Science ficti
     ("", []), ("???", []), ("x" * 3000, []), ("Beekeeping (Somewhere)", [1]),
 ])
 def test_entries(entry, found):
-    assert canonical.resolve(canonical.Trie(TERMS, canonical.ALIASES), entry) == found
+    assert canonical.resolve(canonical.Trie(TERMS, thesaurus.ALIASES), entry) == found
 
 
 def test_automaton_against_brute_force():
     rng = random.Random(1)
     terms = [(i, "".join(rng.choice("abcd") for _ in range(rng.randrange(4, 11)))) for i in range(40)]
-    trie = canonical.Trie(terms, {})
+    trie = canonical.Trie(terms)
 
     def osa(a, b):
         d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
@@ -36,14 +36,13 @@ def test_automaton_against_brute_force():
 
     for _ in range(200):
         text = "".join(rng.choice("abcd") for _ in range(rng.randrange(4, 11)))
-        if text in trie.paths:
-            continue
         limit = canonical.allowed_distance(len(text))
         want: dict[int, int] = {}
-        for path, (term, penalty) in trie.paths.items():
+        for path, ends in trie.paths.items():
             near = osa(text, path)
-            if near <= min(limit, canonical.allowed_distance(len(path))) and near + penalty <= limit:
-                want[term] = min(want.get(term, 9), near + penalty)
+            for penalty, term in ends:
+                if near <= min(limit, canonical.allowed_distance(len(path))) and near + penalty <= limit:
+                    want[term] = min(want.get(term, 9), near + penalty)
         assert dict((t, d) for d, t in trie.search(text)) == want
 
 
