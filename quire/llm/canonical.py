@@ -88,9 +88,10 @@ class Trie:
                     self.add(form[:at] + wrong + form[at + len(right) :], ids, 1)
         # Terms by their number of words and how the first begins, for abbreviated names.
         self.short: dict[tuple[int, str], list[tuple[tuple[str, ...], list[int]]]] = {}
-        for form, term in words.items():
+        written = {tuple(w for w in map(comparable, term.split()) if w): by_form[comparable(term)] for _, term in terms if comparable(term)}
+        for term, ids in (written | {term: by_form[form] for form, term in words.items()}).items():
             for begin in {term[0][:3], term[0]}:
-                self.short.setdefault((len(term), begin), []).append((term, by_form[form]))
+                self.short.setdefault((len(term), begin), []).append((term, ids))
 
     def add(self, path: str, ids: list[int], penalty: int) -> None:
         held = dict((t, p) for p, t in self.paths.get(path, []))
