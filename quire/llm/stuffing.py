@@ -1,11 +1,12 @@
 """Pages of repeated keywords, links, tags, menus and prices, told from sentences.
 
-A page is cut into segments (lines, and sentences within lines). Term recurrence is measured over the whole page: pairs
-of adjacent content words that return after at most ``MAX_LAG`` words are *regular*; in sentences such short gaps are
-rare, in stuffed text they are the rule (positional autocorrelation over lag windows, by shifted copies of the word
-array). A segment counts as stuffing if its pairs are mostly regular, if it is a list of names without function words,
-or if it is nothing but a link, tags, spelled-out letters or a fragment without a sentence's end. A page is flagged if
-more than ``STUFFED_SHARE`` of its characters lie in such segments.
+A page is cut into segments (lines, and sentences within lines). Term recurrence is measured at each position of the
+page: whether the pair of content words there returns after at most ``MAX_LAG`` words, in sentences rare, in stuffed text
+the rule (positional autocorrelation over lag windows); and over sentences: whether a run of words returns in nearly
+every one. A segment counts as stuffing if its pairs mostly recur, if it holds what all sentences repeat, if it is a list
+of names without function words, or if it is nothing but a link, tags, spelled-out letters or a fragment without a
+sentence's end. A page is flagged if more than ``STUFFED_SHARE`` of its characters lie in such segments. The work per
+page grows in proportion to its words.
 
 Everything is computed within a row by array functions, so no text is ever shuffled. Identical segments are counted once
 when the recurrence of terms is measured: a refrain between differing lines is verse, not stuffing. Segments that recur
@@ -35,6 +36,9 @@ STUFFED_SHARE = 0.4
 #: refrains measured make up at most 0.52 of a page.
 MANY = 4
 MOST = 0.6
+#: Share of a page's sentences that must hold a run of words for it to be what they repeat, and the least number of them.
+KEYWORD_SENTENCES = 0.9
+LEAST_SENTENCES = 3
 #: Share of function words below which a recurring segment is made of keywords.
 KEYWORDS = 0.5
 #: Function words of the corpus' languages (fixed values).
@@ -61,10 +65,13 @@ _PRICE = r"[$€£]\s?\d|\d\s?(?:[$€£]|EUR|USD|GBP)\b"
 _SPACE_LIKE = r"[\x{200b}-\x{200d}\x{2060}\x{feff}\x{ad}]"
 
 
-def _tokens(text: Column) -> Column:
-    """Lower-case words; each function word is ¤. Function words are looked up in one of ``_BUCKETS`` short strings."""
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+
+
+def _tokens(words: Column) -> Column:
+    """``words`` with ¤ for each function word, which is looked up in one of ``_BUCKETS`` short strings."""
     table = F.array(*[F.lit(" " + " ".join(bucket) + " ") for bucket in _function_buckets()])
-    words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
     found = lambda w: F.element_at(table, (F.crc32(w) % _BUCKETS + 1).cast("int")).contains(F.concat(F.lit(" "), w, F.lit(" ")))
     return F.transform(words, lambda w: F.when(found(w), F.lit("¤")).otherwise(w))
 
@@ -88,30 +95,23 @@ def _pairs(words: Column) -> Column:
     return F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), pair)
 
 
-def _regular(items: Column, lags: int) -> Column:
-    """Items most of whose recurrences come after at most ``lags`` positions: one shifted comparison per lag."""
-
-    def recurrences(x: Column) -> Column:
-        n = F.size(x)
-
-        def at_lag(k: Column) -> Column:
-            m = F.greatest(n - k, F.lit(0))
-            same = F.zip_with(F.slice(x, F.lit(1), m), F.slice(x, k + 1, m), lambda a, b: F.when(a == b, a))
-            return F.filter(same, lambda a: a.isNotNull())
-
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(lags)), at_lag))
+def _recurs(items: Column, lags: int) -> Column:
+    """For each position whether its item stands at most ``lags`` positions before or after it as well; null items never do."""
 
-    def mostly(hits: Column, x: Column) -> Column:
-        times = lambda where, item: F.size(F.filter(where, lambda a: a == item))
-        return F.filter(F.array_distinct(hits), lambda item: 2 * times(hits, item) >= times(x, item))
+    def near(x: Column) -> Column:
+        before = lambda v, i: F.array_contains(F.slice(x, F.greatest(i - lags, F.lit(0)) + 1, F.least(i, F.lit(lags))), v)
+        after = lambda v, i: F.array_contains(F.slice(x, i + 2, F.lit(lags)), v)
+        return F.transform(x, lambda v, i: v.isNotNull() & F.coalesce(before(v, i) | after(v, i), F.lit(False)))
 
-    return let(items, lambda x: let(recurrences(x), lambda hits: mostly(hits, x)))
+    return let(items, near)
 
 
-def regular_terms(words: Column) -> Column:
-    """struct(pairs, words): regularly recurring content pairs (gaps up to ``MAX_LAG``) and content words (``MAX_WORD_LAG``)."""
-    content = F.transform(words, lambda w: F.when((w != "¤") & (F.length(w) > 1), w))
-    return F.struct(_regular(_pairs(words), MAX_LAG).alias("pairs"), _regular(content, MAX_WORD_LAG).alias("words"))
+def recurrences(words: Column) -> Column:
+    """struct(pairs, words): per position whether the content pair that starts there recurs within ``MAX_LAG`` words, and
+    whether the content word there does within ``MAX_WORD_LAG``: positional autocorrelation over lag windows."""
+    content = F.transform(words, lambda w: F.when((w != "¤") & (F.length(w) > 1), F.xxhash64(w)))
+    pairs = F.transform(_pairs(words), lambda p: F.when(p.isNotNull(), F.xxhash64(p)))
+    return F.struct(_recurs(pairs, MAX_LAG).alias("pairs"), _recurs(content, MAX_WORD_LAG).alias("words"))
 
 
 def _lines(text: Column) -> Column:
@@ -126,16 +126,38 @@ def _segments(lines: Column) -> Column:
     return F.filter(F.flatten(F.transform(lines, cut)), lambda s: s.rlike(r"(?U)\S"))
 
 
+def _runs(words: Column, tokens: Column) -> Column:
+    """Hashes of the distinct runs of three words of which two or more are content words."""
+    n = F.size(words)
+
+    def run(i: Column) -> Column:
+        content = sum(((F.element_at(tokens, i + k) != "¤").cast("int") for k in range(3)), F.lit(0))
+        return F.when(content >= 2, F.xxhash64(*[F.element_at(words, i + k) for k in range(3)]))
+
+    return F.when(n >= 3, F.array_distinct(F.array_compact(F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), run)))).otherwise(F.array().cast("array<bigint>"))
+
+
 def _prepare(segment: Column) -> Column:
-    """struct(text, rest without links, links, words of the rest, hash of these words or null without words)."""
+    """struct(text, rest without links, links, words of the rest, hash of these words or null without words, runs)."""
     maybe = _has_link(segment)
     rest = F.when(maybe, F.regexp_replace(segment, _LINK, " ")).otherwise(segment)
     links = F.when(maybe, F.regexp_count(segment, F.lit(_LINK))).otherwise(0)
     hashed = lambda w: F.when(F.size(w) > 0, F.xxhash64(w)).alias("hash")
-    return let(
-        rest,
-        lambda r: let(_tokens(r), lambda w: F.struct(segment.alias("text"), r.alias("rest"), links.alias("links"), w.alias("words"), hashed(w))),
-    )
+    whole = lambda r, w, k: F.struct(segment.alias("text"), r.alias("rest"), links.alias("links"), k.alias("words"), hashed(w), _runs(w, k).alias("runs"))
+    return let(rest, lambda r: let(_words(r), lambda w: let(_tokens(w), lambda k: whole(r, w, k))))
+
+
+def _keyword_runs(segments: Column) -> Column:
+    """Runs of words that stand in nearly every sentence of a page: what the sentences are there to repeat. Sorted, a run
+    that ``m`` segments hold is equal to the one ``m`` - 1 places on."""
+    told = F.filter(segments, lambda s: s["hash"].isNotNull())
+
+    def held(h: Column, n: Column) -> Column:
+        m = F.greatest(F.lit(LEAST_SENTENCES), F.ceil(n * KEYWORD_SENTENCES).cast("int"))
+        last = F.greatest(F.size(h) - m + 1, F.lit(0))
+        return F.array_distinct(F.array_compact(F.zip_with(F.slice(h, F.lit(1), last), F.slice(h, m, last), lambda a, b: F.when(a == b, a))))
+
+    return let(told, lambda x: let(F.array_sort(F.flatten(F.transform(x, lambda s: s["runs"]))), lambda h: held(h, F.size(x))))
 
 
 def _recurring(segments: Column) -> Column:
@@ -155,23 +177,25 @@ def _recurring(segments: Column) -> Column:
     return let(let(hashes, many), most)
 
 
-def _judge(segment: Column, regular: Column, recurring: Column) -> Column:
-    """True if a prepared segment is stuffing, given the page's regular terms and recurring segments."""
+def _judge(segment: Column, pairs: Column, recurring_words: Column, recurring: Column, keyed: Column) -> Column:
+    """True if a prepared segment is stuffing, given which of its pairs and words recur and the page's recurring segments
+    and keyword runs."""
     text, rest, words = segment["text"], segment["rest"], segment["words"]
     n = F.size(words).cast("double")
     share = lambda condition: F.size(F.filter(words, condition)) / F.greatest(n, F.lit(1.0))
-    inside = lambda items, known: F.when(F.size(known) > 0, F.size(F.filter(items, lambda x: F.array_contains(known, x)))).otherwise(0)
+    true = lambda flags: F.size(F.filter(flags, lambda x: x))
     measures = F.struct(
         n.alias("n"),
         (segment["links"] > 0).alias("linked"),
         share(lambda w: w == "¤").alias("function"),
         share(lambda w: (F.length(w) == 1) & (w != "¤")).alias("letters"),
-        (inside(_pairs(words), regular["pairs"]) / F.greatest(n - 1, F.lit(1.0))).alias("repeated"),
-        inside(words, regular["words"]).alias("recurring"),
+        (true(pairs) / F.greatest(n - 1, F.lit(1.0))).alias("repeated"),
+        true(recurring_words).alias("recurring"),
         F.when(text.contains("#"), F.regexp_count(text, F.lit(r"(?<!\S)#[\p{L}\p{N}]"))).otherwise(0).alias("tags"),
         F.regexp_count(text, F.lit(r"[,;|•·/+>›»–—]|\s-\s")).alias("separators"),
         (rest.rlike(r"[.!?…。,;:][\s\"”»’)\]*_]*$") & rest.rlike(r"\p{L}{2}")).alias("ended"),
         F.coalesce(F.array_contains(recurring, segment["hash"]), F.lit(False)).alias("recurs"),
+        F.arrays_overlap(segment["runs"], keyed).alias("keyed"),
     )
 
     def decide(m: Column) -> Column:
@@ -179,7 +203,7 @@ def _judge(segment: Column, regular: Column, recurring: Column) -> Column:
         prose = (m["n"] >= 15) & (m["function"] >= 0.22)
         return (
             F.when(m["linked"] & ~(sentence & (m["n"] >= 8) & (m["function"] >= 0.15)), True)
-            .when(m["recurs"] & (m["function"] < KEYWORDS), True)
+            .when((m["recurs"] & (m["function"] < KEYWORDS)) | m["keyed"], True)
             .when((m["tags"] >= 3) & (m["tags"] >= 0.4 * m["n"]), True)
             .when((m["letters"] > 0.5) & (m["n"] >= 8), True)
             .when((m["repeated"] >= 0.25) & (m["n"] >= 4), True)
@@ -196,19 +220,35 @@ def _judge(segment: Column, regular: Column, recurring: Column) -> Column:
 def stuffing_shares(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_links, share: the share of each text's characters that lies in stuffed segments."""
 
-    def segment(s: Column, regular: Column, recurring: Column) -> Column:
-        return F.struct(F.length(s["text"]).alias("chars"), _judge(s, regular, recurring).alias("stuffed"), s["links"].alias("links"))
-
     def page(segments: Column) -> Column:
-        words = F.flatten(F.array_distinct(F.transform(segments, lambda s: s["words"])))
         n_words = F.aggregate(segments, F.lit(0), lambda n, s: n + F.size(s["words"]))
-        measured = F.struct(regular_terms(words).alias("regular"), _recurring(segments).alias("recurring"))
-        return let(
-            measured,
-            lambda m: F.struct(
-                n_words.alias("n_words"), F.transform(segments, lambda s: segment(s, m["regular"], m["recurring"])).alias("segments")
-            ),
-        )
+        hashes = F.transform(segments, lambda s: s["hash"])
+        # Identical segments are measured once, at the place of the first.
+        unique = let(hashes, lambda h: F.filter(segments, lambda s, i: F.array_position(h, s["hash"]) == i + 1))
+
+        def placed(own: Column) -> Column:
+            start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+            step = lambda a, s: F.struct((a["at"] + F.size(s["words"])).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts"))
+            flat = F.flatten(F.transform(own, lambda s: s["words"]))
+            return F.struct(
+                F.transform(own, lambda s: s["hash"]).alias("hashes"), F.aggregate(own, start, step)["starts"].alias("starts"), recurrences(flat).alias("recur"),
+                _recurring(segments).alias("recurring"), _keyword_runs(segments).alias("keyed"),
+            )
+
+        def judged(m: Column) -> Column:
+            def one(s: Column) -> Column:
+                n = F.size(s["words"])
+                stuffed = let(
+                    F.coalesce(F.get(m["starts"], (F.array_position(m["hashes"], s["hash"]) - 1).cast("int")), F.lit(0)),
+                    lambda at: _judge(
+                        s, F.slice(m["recur"]["pairs"], at + 1, F.greatest(n - 1, F.lit(0))), F.slice(m["recur"]["words"], at + 1, n), m["recurring"], m["keyed"]
+                    ),
+                )
+                return F.struct(F.length(s["text"]).alias("chars"), stuffed.alias("stuffed"), s["links"].alias("links"))
+
+            return F.struct(n_words.alias("n_words"), F.transform(segments, one).alias("segments"))
+
+        return let(let(unique, placed), judged)
 
     def sums(p: Column) -> Column:
         start = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("chars", "stuffed", "links")])

@@ -222,3 +222,27 @@ def test_mixing(spark):
     got = {r["source"]: r["actual_share"] for r in mixing.shares(mixed, targets).collect()}
     assert got["a"] == pytest.approx(5 / 9, abs=0.03) and got["b"] == pytest.approx(4 / 9, abs=0.03) and got["missing"] == 0
     assert mixing.mix(frame.limit(0), targets).count() == 0 and mixing.mix(frame, targets.limit(0)).count() == 0
+
+
+def test_sentences_that_repeat_a_keyword(spark):
+    frames = ["I bought {} in the spring, which says something.", "My father kept {} at school, though the ending still puzzles me.", "Nobody returned {} before the wedding, but that was long ago.", "We read aloud from {} on a train, and I am glad of it."]
+    spam = " ".join(f.format("The Burning Kiln of Harrowgate") for f in frames)
+    plain = " ".join(f.format(x) for f, x in zip(frames, ("a lamp", "two hens", "the ladder", "old letters")))
+    two = " ".join(f.format("The Burning Kiln of Harrowgate") for f in frames[:2])
+    rows = [(1, spam), (2, plain), (3, two), (4, spam)]
+    found = stuffing.stuffed_pages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in found.collect()) == [1, 4]
+
+
+def test_a_page_of_a_megabyte_is_linear(spark):
+    import time
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(5000)]
+    prose = " ".join("The " + rng.choice(words) + " of the " + rng.choice(words) + " went to a " + rng.choice(words) + " and was " + rng.choice(words) + "." for _ in range(18_000))
+    tags = "\n".join("cheap " + " ".join(rng.choice(words[:40]) for _ in range(12)) for _ in range(12_000))
+    rows = [(1, prose), (2, tags)]
+    assert all(len(t) > 1_000_000 for _, t in rows)
+    began = time.perf_counter()
+    found = stuffing.stuffed_pages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [r["doc_id"] for r in found.collect()] == [2] and time.perf_counter() - began < 90
