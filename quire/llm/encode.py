@@ -9,7 +9,8 @@ Texts are cut into words by the tokenizer's pattern, each distinct word is encod
   those travel with their document's id and position.
 
 Defined results: null, empty and blank texts: null and '' give an empty list, blanks the ids of their white space.
-Special token strings in a text are ordinary text. Duplicate documents are encoded alike, each row kept.
+Special token strings in a text are ordinary text. Every row is kept: duplicate documents are encoded alike, rows of one
+doc_id or of none each by their own text.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.bind import let
+from quire.operators import skew
 from quire.session import check_columns, cut_lineage
 
 TOKENIZERS = "/opt/tokenizers"
@@ -156,11 +159,12 @@ def encode_words(words: DataFrame, folder: str = TOKENIZERS, vocabulary: str = V
     binary = F.encode("word", "UTF-8")
     short = bound(words.where(F.octet_length("word") <= FOLD_BYTES), ranks, *words.columns, ids=lambda m: fold_merges(binary, m))
 
+    # The ranks travel to the workers; the vocabulary's folder need exist where the driver runs only.
+    known = spark.sparkContext.broadcast(dict(entries))
+
     def long_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, int] = {}
         for frame in batches:
-            known = known or load_ranks(folder, vocabulary)
-            frame["ids"] = [_queue_merges(w.encode(), known) for w in frame["word"]]
+            frame["ids"] = [_queue_merges(w.encode(), known.value) for w in frame["word"]]
             yield frame
 
     fields = [f for f in words.schema.fields if f.name != "ids"]
@@ -178,26 +182,22 @@ def encode_corpus(documents: DataFrame, folder: str = TOKENIZERS, vocabulary: st
     head = encoded.orderBy(F.desc("n"), "word").limit(head_words).select("word", "ids").collect()
     ready = literal_map(spark, [(r["word"].encode(), r["ids"]) for r in head], pa.list_(pa.int32()))
 
-    def known(m: Column) -> Column:
-        return F.transform(words_of(F.col("text")), lambda w: look_up(m, F.encode(w, "UTF-8")))
-
-    def gaps(m: Column) -> Column:
-        parts = F.transform(words_of(F.col("text")), lambda w, i: F.struct(i.alias("at"), w.alias("word")))
-        return F.filter(parts, lambda p: look_up(m, F.encode(p["word"], "UTF-8")).isNull())
-
-    # A word outside the head leaves a gap; gaps are filled by key and come back per document as position -> ids.
-    rare = (
-        bound(texts.where("doc_id is not null"), ready, "doc_id", gaps=gaps)
-        .select("doc_id", F.explode("gaps").alias("gap"))
-        .select("doc_id", F.col("gap.at").alias("at"), F.col("gap.word").alias("word"))
-        .distinct()
-        .join(encoded.select("word", "ids"), "word")
-        .groupBy("doc_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("at", "ids"))).alias("rare"))
-    )
-    parts = bound(texts, ready, "doc_id", parts=known).join(rare, "doc_id", "left")
+    def made(m: Column) -> Column:
+        """The ids of each word, null for a word outside the head, and those words with their places."""
+        known = lambda w: F.transform(w, lambda x: look_up(m, F.encode(x, "UTF-8")))
+        gaps = lambda w, ids: F.filter(F.transform(w, lambda x, i: F.when(F.get(ids, i).isNull(), F.struct(i.alias("at"), x.alias("word")))), lambda g: g.isNotNull())
+        return let(words_of(F.col("text")), lambda w: let(known(w), lambda ids: F.struct(ids.alias("parts"), gaps(w, ids).alias("gaps"))))
+
+    # Texts are cut once; rows get a key of their own, since documents may share an id or have none.
+    parts = bound(texts, ready, "doc_id", made=made).select(F.monotonically_increasing_id().alias("row"), "doc_id", "made.*")
+    parts = cut_lineage(parts)
+    whole = parts.where(F.size("gaps") == 0).select("doc_id", F.flatten("parts").alias("ids"))
+    # Only documents with a gap are joined: the gaps are filled by word and come back per row as place -> ids.
+    open_rows = parts.where(F.size("gaps") > 0)
+    wanted = open_rows.select("row", F.explode("gaps").alias("gap")).select("row", F.col("gap.at").alias("at"), F.col("gap.word").alias("word"))
+    rare = skew.salted_join(encoded.select("word", "ids"), wanted, ["word"]).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("at", "ids"))).alias("rare"))
     filled = F.transform("parts", lambda ids, i: F.coalesce(ids, F.try_element_at(F.col("rare"), i)))
-    return parts.select("doc_id", F.flatten(filled).alias("ids"))
+    return whole.unionByName(open_rows.select("row", "doc_id", "parts").join(rare, "row").select("doc_id", F.flatten(filled).alias("ids")))
 
 
 def piece_table(spark: SparkSession, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> Column:

@@ -128,9 +128,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_shares": p9_shares,
 }
 
-_STAND_IN = survivor._STAND_IN.replace("(?iu)", "(?i)").replace("'", "''")
-_CUT = survivor._CUT.replace("(?iu)", "(?i)").replace("'", "''")
-_BOILERPLATE = survivor._BOILERPLATE.replace("(?iu)", "(?i)").replace("'", "''")
+# What sellers and stand-ins say, written out for the SQL counterpart.
+_SAYS = (
+    "on demand", "on-demand", "working days", "business days", "is a facsimile", "altered the scan", "returns are accepted", "trusted seller", "order now", "may contain notes", "good condition",
+    "nachdruck nach bestellung", "spuren des originals", "versand in ", "réimpression à la demande", "expédié sous", "impreso bajo demanda", "free shipping", "money-back",
+)
+_SELLER = " OR ".join(f"contains(lower(text), '{s}')" for s in _SAYS)
+_NOTHING = "regexp_matches(lower(text), '^[^a-zà-ÿ]*(n/?a|tb[acd]|null|none|unknown|no (description|synopsis|summary|blurb).*|keine? (beschreibung|inhaltsangabe).*|pas de (description|résumé).*|sin (descripción|sinopsis|resumen).*|(description|synopsis|summary|blurb|details)( [^ ]+){0,2} (soon|follow|later|pending|unavailable|available)|see the publisher.?s? page.*|beschreibung folgt.*)[^a-zà-ÿ]*$')"
+_BROKEN = "regexp_matches(lower(text), '([.]{2,}|…|[(](more|continued|cont[.]?|mehr|suite|fortsetzung)[)]|(read|see|show) (more|on)|weiterlesen|lire la suite|leer más)[]. )»”\"]*$')"
 
 SQL: dict[str, str] = {
     "p6_found": f"""WITH facts AS (
@@ -139,8 +144,8 @@ SQL: dict[str, str] = {
       FROM book_sources b JOIN raw_book r ON b.source = r.source AND b.source_id = r.source_id),
     claims AS (
       SELECT *, 'description' AS field_name FROM facts
-      WHERE len(regexp_split_to_array(text, '\\s+')) >= 3 AND regexp_matches(text, '[.!?]["”)]*$') AND NOT regexp_matches(text, '{_STAND_IN}')
-        AND NOT regexp_matches(text, '{_CUT}') AND NOT regexp_matches(text, '{_BOILERPLATE}')
+      WHERE len(regexp_split_to_array(text, '\\s+')) >= 3 AND regexp_matches(text, '[.!?]["”)]*$') AND NOT {_NOTHING}
+        AND NOT {_BROKEN} AND NOT ({_SELLER})
       UNION ALL SELECT *, 'publisher' FROM facts
       WHERE trim(publisher) <> '' AND lower(trim(publisher, ' []?-.')) NOT IN ('', 'n/a', 'none', 'unknown', 'unknown publisher', 'publisher unknown', 'publisher not identified', 's.n')
       UNION ALL SELECT *, 'page_count' FROM facts WHERE page_count > 0

@@ -3,8 +3,8 @@
 Each account of a book claims values for fields. In turn, a value's support is the sum of the reliabilities of the
 sources that claim it, and a source's reliability is the mean share of support that its claims get, until the
 reliabilities stand still; each field's survivor is the value of the highest support. Where the caller declares an
-order of trust, the reliabilities are given, not estimated: the most trusted source then outweighs all others together,
-and among its claims the latest, then the smallest source id survives.
+order of trust, the reliabilities are given, not estimated: weights in which each source outweighs all after it together
+pass through the same supports, with one voice per source.
 
 Claims of one group are never gathered: votes are counted per value and source, supports and survivors are partial
 aggregates, and only the reliabilities, one number per source, reach the driver.
@@ -25,6 +25,8 @@ from quire.session import check_columns, cut_lineage
 #: Most trusted first (fixed values).
 TRUST = ("goodreads", "googlebooks", "openlibrary", "gutendex")
 FIELDS = ("description", "publisher", "page_count", "published")
+#: Sources an order of trust may name: beyond, powers of two are no longer exact.
+MOST_TRUSTED = 50
 #: Sources whose reliabilities the driver holds; more are an error.
 MOST_SOURCES = 10_000
 ROUNDS = 10
@@ -125,30 +127,47 @@ def _shares(votes: DataFrame, reliability: dict[str, float]) -> DataFrame:
     """book_id, field_name, form, support, share of the field's support."""
     rows = [(s, float(r)) for s, r in reliability.items()] or [("", 0.0)]
     weight = F.broadcast(votes.sparkSession.createDataFrame(rows, "source string, weight double"))
-    supports = votes.join(weight, "source").groupBy("book_id", "field_name", "form").agg(F.sum(F.col("weight") * F.col("n")).alias("support"))
+    # A source without a reliability supports nothing, but its claims stand where no other does.
+    weighed = votes.join(weight, "source", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    supports = weighed.groupBy("book_id", "field_name", "form").agg(F.sum(F.col("weight") * F.col("n")).alias("support"))
     totals = supports.groupBy("book_id", "field_name").agg(F.sum("support").alias("total"))
-    return supports.join(totals, ["book_id", "field_name"]).withColumn("share", F.col("support") / F.col("total"))
+    return supports.join(totals, ["book_id", "field_name"]).withColumn("share", F.coalesce(F.col("support") / F.nullif("total", F.lit(0.0)), F.lit(0.0)))
+
+
+def given_weights(trust: Sequence[str]) -> dict[str, float]:
+    """Reliabilities in which each source outweighs all that follow it together, however many claims agree: sources vote
+    once per value, so powers of two suffice."""
+    return {s: float(2 ** (len(trust) - 1 - i)) for i, s in enumerate(trust)}
 
 
 def survivors(of: DataFrame, trust: Sequence[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """book_id, field_name, source, source_id: the account whose value survives, per field.
 
-    With ``trust`` the weights are given: each source outweighs all after it together, so the support of a value is
-    decided by its most trusted claimant. Without it, weights are discovered and supports are their sums.
+    The value of the highest support survives, and of the accounts that claim it the one of the weightiest source, then the
+    latest, then the smallest source id. Without ``trust`` a value's support is the sum of the reliabilities of its claims,
+    which are discovered. With ``trust`` (at most ``MOST_TRUSTED`` sources) the reliabilities are given, and each source
+    votes once per value. A source's claims may differ among themselves: the exact check after the vote is that, of a
+    trusted source's values, the one of its latest account stands for it.
     """
     claimed = claims(of)
     recent = [F.col("source_updated").isNull().alias("undated"), (-F.unix_micros(F.col("source_updated").cast("timestamp"))).alias("age"), F.col("source_id").alias("id")]
     who = F.struct("source", "source_id")
     if trust is not None:
-        place = F.coalesce(*[F.when(F.col("source") == s, F.lit(i)) for i, s in enumerate(trust)], F.lit(len(trust)))
-        ranked = claimed.select("book_id", "field_name", F.struct(place.alias("place"), *recent, F.col("source").alias("s")).alias("rank"), who.alias("who"))
+        if len(trust) > MOST_TRUSTED:
+            raise ValueError(f"an order of trust of more than {MOST_TRUSTED} sources")
+        weights = given_weights(trust)
+        # A source speaks with one voice: its latest claim on a field.
+        voices = claimed.groupBy("book_id", "field_name", "source").agg(F.min_by(F.struct("form", "source_id", "source_updated"), F.struct(*recent)).alias("v"))
+        claimed = voices.select("book_id", "field_name", "source", "v.*")
+        votes = claimed.select("book_id", "field_name", "form", "source", F.lit(1).alias("n"))
     else:
         votes = claimed.groupBy("book_id", "field_name", "form", "source").agg(F.count("*").alias("n"))
         weights = discover(claimed, rounds)
-        supports = _shares(votes, weights).select("book_id", "field_name", "form", "support")
-        ranked = claimed.join(supports, ["book_id", "field_name", "form"]).select(
-            "book_id", "field_name", F.struct((-F.col("support")).alias("place"), *recent, F.col("source").alias("s")).alias("rank"), who.alias("who")
-        )
+    supports = _shares(votes, weights).select("book_id", "field_name", "form", "support")
+    weighty = F.coalesce(*[F.when(F.col("source") == s, F.lit(-w)) for s, w in weights.items()], F.lit(0.0)) if weights else F.lit(0.0)
+    ranked = claimed.join(supports, ["book_id", "field_name", "form"]).select(
+        "book_id", "field_name", F.struct((-F.col("support")).alias("support"), weighty.alias("weight"), *recent, F.col("source").alias("s")).alias("rank"), who.alias("who")
+    )
     return ranked.groupBy("book_id", "field_name").agg(F.min_by("who", "rank").alias("who")).select("book_id", "field_name", "who.*")
 
 

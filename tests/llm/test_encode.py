@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import base64
 import random
 
@@ -41,3 +43,12 @@ def test_empty_table(spark):
 def test_ranks_are_read_from_the_folder_given(tmp_path):
     (tmp_path / "v.tiktoken").write_bytes(base64.b64encode(b"a") + b" 0\n" + base64.b64encode(b"b") + b" 1\n")
     assert encode.load_ranks(str(tmp_path), "v.tiktoken") == {b"a": 0, b"b": 1}
+
+
+def test_rows_of_one_id_or_of_none_are_encoded_each(spark):
+    texts = [(1, "Zyxwv qwxz"), (1, "Plvmt rare"), (None, "Gnrfl"), (None, None), (2, "x" * 400 + " é")]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    pieces = encode.piece_table(spark)
+    ids = encode.encode_corpus(frame, head_words=1)
+    back = encode.bound(ids, pieces, "doc_id", text=lambda p: encode.decode_ids(F.col("ids"), p)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in back) == sorted((str(i), t or "") for i, t in texts)

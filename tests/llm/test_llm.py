@@ -234,6 +234,14 @@ def test_sentences_that_repeat_a_keyword(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == [1, 4]
 
 
+def test_shares_meet_their_targets_over_the_tables(spark):
+    from quire.llm import queries
+
+    rows = queries.p8_shares(spark, "/root/testdata/sf0.01").collect()
+    have = sum(r["target_share"] for r in rows if r["tokens"] > 0)
+    assert all(abs(r["actual_share"] - r["target_share"] / have) < 0.005 for r in rows if r["tokens"] > 0)
+
+
 def test_a_page_of_a_megabyte_is_linear(spark):
     import time
 
