@@ -117,23 +117,33 @@ def lifespans(cat: DataFrame) -> DataFrame:
 
 
 def islands(spans: DataFrame) -> DataFrame:
-    """Runs of consecutive files of a feed that hold a field with one type: feed, field, type, first_seq, last_seq."""
+    """Runs of consecutive files of a feed that hold a field with one type: feed, field, type, first_seq, last_seq.
+
+    Runs are formed within blocks of files; a run that goes on from the block before is joined to it over one row per run
+    and block, so no task holds a feed's files however many they are.
+    """
     start = ~F.coalesce("has_before", F.lit(False)) | ~F.col("type_before").eqNullSafe(F.col("type"))
-    w = Window.partitionBy("feed", "field").orderBy("file_seq", "file_id")
-    edges = spans.select("feed", "field", "file_seq", "file_id", "type", start.alias("starts"), F.coalesce("has_after", F.lit(False)).alias("has_after"))
-    runs = edges.withColumn("run", F.sum(F.col("starts").cast("int")).over(w))
-    return runs.groupBy("feed", "field", "run").agg(
-        F.first("type").alias("type"), F.min("file_seq").alias("first_seq"), F.max("file_seq").alias("last_seq")
-    ).drop("run")
+    block = F.floor(F.col("file_seq").cast("long") / BLOCK)
+    w = Window.partitionBy("feed", "field", "block").orderBy("file_seq", "file_id")
+    edges = spans.select("feed", "field", "file_seq", "file_id", "type", start.alias("starts"), block.alias("block"))
+    local = edges.withColumn("run", F.sum(F.col("starts").cast("int")).over(w)).groupBy("feed", "field", "block", "run").agg(
+        F.first("type").alias("type"), F.min("file_seq").alias("first_seq"), F.max("file_seq").alias("last_seq"), F.bool_or("starts").alias("starts")
+    )
+    across = Window.partitionBy("feed", "field").orderBy("first_seq", "run")
+    joined = local.withColumn("whole", F.sum(F.col("starts").cast("int")).over(across))
+    return joined.groupBy("feed", "field", "whole").agg(F.first("type").alias("type"), F.min("first_seq").alias("first_seq"), F.max("last_seq").alias("last_seq")).drop("whole")
 
 
 def changes(lines: DataFrame) -> DataFrame:
     """Each change between a file and the one before: file_id, change_kind, old_name, new_name."""
-    fields = explode_fields(lines)
+    return _changes(lines, cut_lineage(lifespans(catalogue(explode_fields(lines)))))
+
+
+def _changes(lines: DataFrame, spans: DataFrame) -> DataFrame:
+    """The changes of ``lines``, given the lifespans of their fields."""
     files = check_columns(lines, ["feed", "file_seq", "file_id"]).groupBy("feed", "file_seq").agg(F.min("file_id").alias("file_id"))
-    spans = cut_lineage(lifespans(catalogue(fields)))
     later = files.select("feed", (F.col("file_seq") + 1).alias("file_seq"), F.lit(True).alias("compared"))
-    compared = files.join(later, ["feed", "file_seq"]).select("feed", "file_seq", "file_id")
+    compared = cut_lineage(files.join(later, ["feed", "file_seq"]).select("feed", "file_seq", "file_id"))
 
     begun = spans.where("not coalesce(has_before, false)").select("feed", "file_seq", F.col("field").alias("new_name"), F.col("type").alias("new_type"))
     ended = spans.where("not coalesce(has_after, false)").select(
@@ -142,7 +152,7 @@ def changes(lines: DataFrame) -> DataFrame:
     begun = begun.join(compared, ["feed", "file_seq"])
     ended = ended.join(compared, ["feed", "file_seq"])
 
-    renames = cut_lineage(_renames(fields, begun, ended))
+    renames = cut_lineage(_renames(explode_fields(lines), begun, ended))
     moved = renames.select("feed", "file_seq", "file_id", F.lit("renamed").alias("change_kind"), "old_name", "new_name")
     moved_type = renames.where("old_type <> new_type").select(
         "feed", "file_seq", "file_id", F.lit("retyped").alias("change_kind"), "old_name", "new_name"
@@ -162,29 +172,17 @@ def changes(lines: DataFrame) -> DataFrame:
 def _renames(fields: DataFrame, begun: DataFrame, ended: DataFrame) -> DataFrame:
     """Endings and beginnings of one transition whose content is the same in every document that both files hold."""
     turning = begun.select("feed", "file_seq").intersect(ended.select("feed", "file_seq"))
-    olds = ended.join(turning, ["feed", "file_seq"], "left_semi")
-    news = begun.join(turning, ["feed", "file_seq"], "left_semi")
-    facts = fields.where("doc_key is not null").select("feed", "file_seq", "doc_key", "field", "value")
-    # Only fields that begin or end at a turning file are read as content.
-    before = (
-        facts.withColumn("file_seq", F.col("file_seq") + 1)
-        .withColumnRenamed("field", "old_name")
-        .join(olds.select("feed", "file_seq", "old_name"), ["feed", "file_seq", "old_name"], "left_semi")
-        .select("feed", "file_seq", "doc_key", "old_name", content_form(F.col("value")).alias("old_content"))
-        .where("old_content is not null")
-        .groupBy("feed", "file_seq", "doc_key", "old_name")
-        .agg(F.min("old_content").alias("old_content"))
-    )
-    after = (
-        facts.withColumnRenamed("field", "new_name")
-        .join(news.select("feed", "file_seq", "new_name"), ["feed", "file_seq", "new_name"], "left_semi")
-        .select("feed", "file_seq", "doc_key", "new_name", content_form(F.col("value")).alias("new_content"))
-        .where("new_content is not null")
-        .groupBy("feed", "file_seq", "doc_key", "new_name")
-        .agg(F.min("new_content").alias("new_content"))
-    )
+    olds = cut_lineage(ended.join(turning, ["feed", "file_seq"], "left_semi"))
+    news = cut_lineage(begun.join(turning, ["feed", "file_seq"], "left_semi"))
+    # Documents are read once more, and of their fields only those that end or begin at a turning file, as hashed content.
+    ending = olds.select("feed", (F.col("file_seq") - 1).alias("file_seq"), F.col("old_name").alias("field"), F.lit(True).alias("ending"))
+    asked = ending.unionByName(news.select("feed", "file_seq", F.col("new_name").alias("field"), F.lit(False).alias("ending")))
+    facts = fields.where("doc_key is not null").select("feed", "file_seq", F.xxhash64("doc_key").alias("doc"), "field", "value").join(asked, ["feed", "file_seq", "field"])
+    told = facts.select("feed", (F.col("file_seq") + F.col("ending").cast("int")).alias("file_seq"), "ending", "doc", "field", F.xxhash64(content_form(F.col("value"))).alias("content"), content_form(F.col("value")).isNotNull().alias("some"))
+    one = cut_lineage(told.where("some").groupBy("feed", "file_seq", "doc", "ending", "field").agg(F.min("content").alias("content")))
+    side = lambda ending, name, content: one.where("ending" if ending else "not ending").select("feed", "file_seq", "doc", F.col("field").alias(name), F.col("content").alias(content))
     same = (
-        before.join(after, ["feed", "file_seq", "doc_key"])
+        side(True, "old_name", "old_content").join(side(False, "new_name", "new_content"), ["feed", "file_seq", "doc"])
         .groupBy("feed", "file_seq", "old_name", "new_name")
         .agg(F.count("*").alias("both"), F.count_if(F.col("old_content") == F.col("new_content")).alias("equal"))
         .where("both = equal")
@@ -203,12 +201,12 @@ def alias_table(lines: DataFrame) -> dict[str, str]:
 
     Held by the driver, as a schema is; more than ``MOST_NAMES`` names are an error.
     """
-    fields = explode_fields(lines)
-    usage = fields.groupBy("field").agg(F.count("*").alias("n")).limit(MOST_NAMES + 1).collect()
+    spans = cut_lineage(lifespans(catalogue(explode_fields(lines))))
+    usage = spans.groupBy("field").agg(F.sum("n_docs").alias("n")).limit(MOST_NAMES + 1).collect()
     if len(usage) > MOST_NAMES:
         raise ValueError(f"more than {MOST_NAMES} distinct field names")
     uses = {r["field"]: r["n"] for r in usage}
-    links = changes(lines).where("change_kind = 'renamed'").select("old_name", "new_name").distinct().collect()
+    links = _changes(lines, spans).where("change_kind = 'renamed'").select("old_name", "new_name").distinct().collect()
     family = {name: {name} for name in uses}
     for old, new in links:
         if family[old] is not family[new]:
