@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import identity, numbers, similarity, text
 from quire.operators import contested, mapping, merge, policy, search, upsert
-from quire.session import table
+from quire.plans import load
+from quire.session import cut_lineage, table
 from quire.sources import readers
 from quire.streaming import events
 
@@ -619,3 +620,44 @@ def position_upsert(spark: SparkSession, d: str) -> DataFrame:
     stored = lines.select("feed").distinct().select("feed", F.lit(0).cast("long").alias("position"), F.lit(10).cast("long").alias("emitted"), F.lit(False).alias("exhausted"))
     read = lines.groupBy("feed").agg(F.max("file_id").alias("position"), F.count("*").alias("emitted"), F.bool_or(F.col("file_seq") >= 8).alias("exhausted"))
     return upsert.upsert(stored, read, ["feed"], {"emitted": upsert.add})
+
+
+def _observations(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "book_sources").select("source", "raw_payload", "source_updated")
+
+
+def _loaded(stored: dict[str, DataFrame], observations: DataFrame, at: str) -> dict[str, DataFrame]:
+    return {name: cut_lineage(frame) for name, frame in load.load_batch(stored, observations, F.lit(at).cast("timestamp")).items()}
+
+
+@query("""SELECT * FROM (VALUES ('books', 0::BIGINT), ('book_sources', 0), ('authors', 0), ('book_authors', 0), ('subjects', 0), ('book_subjects', 0), ('series', 0), ('book_series', 0),
+    ('rejected_records', 0)) t(table_name, changed) UNION ALL SELECT 'accounts', count(*) FROM book_sources""")
+def load_twice(spark: SparkSession, d: str) -> DataFrame:
+    """All stored payloads loaded into an empty catalogue, and again: rows that differ after the second load, per table (the
+    time an account was last seen aside), and how many accounts there are."""
+    empty = {name: spark.createDataFrame([], schema) for name, schema in load.SCHEMAS.items()}
+    first = _loaded(empty, _observations(spark, d), "2025-01-01 00:00:00")
+    again = _loaded(first, _observations(spark, d), "2025-01-02 00:00:00")
+    found = first["book_sources"].agg(F.lit("accounts").alias("table_name"), F.count("*").alias("changed"))
+    for name in load.SCHEMAS:
+        one, two = (tables[name].drop("last_seen_at") for tables in (first, again))
+        apart = one.exceptAll(two).unionByName(two.exceptAll(one))
+        found = found.unionByName(apart.agg(F.lit(name).alias("table_name"), F.count("*").alias("changed")))
+    return found
+
+
+@query(f"""WITH RECURSIVE {_CLEAN}, mine AS (SELECT source_id, isbn13, 'fallback:' || sha256(normalised_title || chr(0) || coalesce(normalised_first_author, '') || chr(0) || coalesce(published_year::VARCHAR, '')) AS fallback
+      FROM accounts WHERE source = 'googlebooks'),
+    tied AS (SELECT DISTINCT a.source_id AS x, b.source_id AS y FROM mine a JOIN mine b ON a.isbn13 = b.isbn13 OR a.fallback = b.fallback),
+    reach(x, y) AS (SELECT x, y FROM tied UNION SELECT r.x, t.y FROM reach r JOIN tied t ON r.y = t.x)
+    SELECT x AS source_id, coalesce('isbn:' || min(m.isbn13), min(m.fallback)) AS identity_key, count(DISTINCT y) AS accounts FROM reach JOIN mine m ON m.source_id = y GROUP BY x""")
+def load_promote(spark: SparkSession, d: str) -> DataFrame:
+    """One provider's payloads loaded without their ISBNs, then as they are: fallback identities are promoted to ISBNs in
+    place, books of one ISBN are merged, and every account stays. Per account its book's identity and number of accounts."""
+    own = _observations(spark, d).where("source = 'googlebooks'")
+    bare = own.withColumn("raw_payload", F.regexp_replace("raw_payload", r'"industryIdentifiers": ?\[[^\]]*\]', '"industryIdentifiers": []'))
+    empty = {name: spark.createDataFrame([], schema) for name, schema in load.SCHEMAS.items()}
+    after = _loaded(_loaded(empty, bare, "2025-01-01 00:00:00"), own, "2025-01-02 00:00:00")
+    books, accounts = after["books"].select("book_id", "identity_key"), after["book_sources"].select("book_id", "source_id")
+    sizes = accounts.groupBy("book_id").agg(F.count("*").alias("accounts"))
+    return accounts.join(books, "book_id").join(sizes, "book_id").select("source_id", "identity_key", "accounts")

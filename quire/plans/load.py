@@ -75,11 +75,12 @@ def canonical_records(accounts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean.where("rejection is null").drop("rejection"), rejected
 
 
-def route(stored: dict[str, DataFrame], records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(source, source_id -> book_id) of the batch and (old_id -> new_id) of books that it ties together.
+def route(stored: dict[str, DataFrame], records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(source, source_id -> book_id) of the batch, (old_id -> new_id) of books that it ties together, and (book_id ->
+    identity) of the books it touches.
 
     An account keeps its book; the book of its identity, if another, is tied to it. Books tied together become the one
-    with the smallest id.
+    with the smallest id. The stored row arbitrates its book's identity: an ISBN it has stays, a fallback yields to an ISBN.
     """
     mine = stored["book_sources"].select("source", "source_id", F.col("book_id").alias("by_account"))
     owner = stored["books"].select("identity_key", F.col("book_id").alias("by_identity"))
@@ -96,8 +97,13 @@ def route(stored: dict[str, DataFrame], records: DataFrame) -> tuple[DataFrame,
     ties = ends.join(hub, "identity_key").join(isbns, "identity_key", "left_semi").where("book_a <> book_b").select("book_a", "book_b")
     mapped = upsert.reconcile_identities(ties).where("book <> root").select(F.col("book").alias("old_id"), F.col("root").alias("new_id"))
     mapped = cut_lineage(mapped)
-    led = placed.join(mapped, F.col("book_id") == F.col("old_id"), "left").select("source", "source_id", F.coalesce("new_id", "book_id").alias("book_id"))
-    return led, mapped
+    lead = lambda frame: frame.join(mapped, F.col("book_id") == F.col("old_id"), "left")
+    led = cut_lineage(lead(placed).select("source", "source_id", "identity_key", F.coalesce("new_id", "book_id").alias("book_id")))
+    held = lead(stored["books"].select("book_id", "identity_key")).select("identity_key", F.coalesce("new_id", "book_id").alias("book_id"), F.lit(0).alias("told"), F.col("new_id").isNotNull().alias("moved"))
+    said = held.unionByName(led.select("identity_key", "book_id", F.lit(1).alias("told"), F.lit(True).alias("moved"))).join(led.select("book_id").distinct(), "book_id", "left_semi")
+    isbn = F.col("identity_key").startswith("isbn:")
+    identities = said.groupBy("book_id").agg(F.min_by("identity_key", F.struct((~isbn).alias("fallback"), F.col("told"), F.col("moved"), F.col("identity_key"))).alias("identity"))
+    return led.select("source", "source_id", "book_id"), mapped, cut_lineage(identities)
 
 
 def load_batch(stored: dict[str, DataFrame], observations: DataFrame, now: Column) -> dict[str, DataFrame]:
@@ -105,8 +111,7 @@ def load_batch(stored: dict[str, DataFrame], observations: DataFrame, now: Colum
     batch = cut_lineage(observations.select("source", "raw_payload", F.col("source_updated").cast("timestamp").alias("source_updated")))
     records, rejected = canonical_records(batch)
     records = cut_lineage(records)
-    routed, mapped = route(stored, records)
-    routed = cut_lineage(routed)
+    routed, mapped, identities = route(stored, records)
 
     latest = records.groupBy("source", "source_id").agg(F.max_by(F.struct("raw_payload", "source_updated"), F.struct("source_updated", "raw_payload")).alias("o"))
     incoming = latest.join(routed, ["source", "source_id"]).select(
@@ -119,7 +124,7 @@ def load_batch(stored: dict[str, DataFrame], observations: DataFrame, now: Colum
     touched = routed.select("book_id").distinct()
     replayed, _ = canonical_records(sources.join(touched, "book_id", "left_semi").select("book_id", "source", "raw_payload", "source_updated"))
     replayed = cut_lineage(replayed)
-    books = _books(stored["books"], replayed, mapped, now)
+    books = _books(stored["books"], replayed, mapped, identities, now)
 
     people, author_links = upsert.sync_people(replayed, "book_id", text.author_form(F.col("author.name")))
     topics, topic_links = upsert.sync_subjects(replayed, "book_id", text.subject_form(F.col("subject")))
@@ -157,16 +162,13 @@ def _as(frame: DataFrame, schema: str) -> DataFrame:
     return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
-def _books(stored: DataFrame, replayed: DataFrame, mapped: DataFrame, now: Column) -> DataFrame:
+def _books(stored: DataFrame, replayed: DataFrame, mapped: DataFrame, identities: DataFrame, now: Column) -> DataFrame:
     """Books after recomputing the touched ones; a merged book is gone, an ISBN promotes a fallback identity in place.
 
-    Where a book's accounts name several ISBNs, the fields are merged as if the smallest were theirs: the conflict is
-    the accounts', and the book keeps one identity.
+    The accounts of a book are brought to its identity before they are merged, whatever each says itself.
     """
-    one = replayed.groupBy("book_id").agg(F.min("isbn13").alias("the_isbn"))
-    agreed = replayed.join(one, "book_id").withColumn("isbn13", F.col("the_isbn")).drop("the_isbn")
-    merged = merge.merge(agreed, "book_id")
-    merged = merged.withColumn("identity_key", F.coalesce(F.concat(F.lit("isbn:"), F.col("isbn13")), F.col("identity_key")))
+    agreed = merge.agree(replayed.join(identities, "book_id"), "identity")
+    merged = merge.merge(agreed, "book_id", "identity")
     downloads = merge.first_download_count(replayed, "book_id").withColumnRenamed("download_count", "__downloads")
     merged = merged.join(downloads, "book_id", "left").withColumn("download_count", F.col("__downloads"))
     hashed = merged.withColumn("content_hash", merge.content_hash(merged))

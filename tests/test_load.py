@@ -25,7 +25,6 @@ def load(spark, catalogue, rows, day):
     return {n: sorted((r.asDict() for r in rows), key=str) for n, rows in tables.items()}
 
 
-@pytest.mark.skip(reason="several loads take minutes on one machine; not yet run to its end")
 def test_load_reload_and_change(spark, tmp_path):
     catalogue = Catalogue(spark, str(tmp_path / "c"))
     rows = [google("g1", "The Key", ISBN), google("g2", "The Loom"), gutendex(5, "The Sea", download_count=7, subjects=["Sea", "sea "]), ("goodreads", "{broken", None)]
@@ -48,7 +47,6 @@ def test_sources_of_one_isbn_share_a_book_and_series_are_kept(spark, tmp_path):
     assert [a["normalised_name"] for a in got["authors"]] == ["ana vega"]
 
 
-@pytest.mark.skip(reason="several loads take minutes on one machine; not yet run to its end")
 def test_a_fallback_is_promoted_and_merged_into_its_owner(spark, tmp_path):
     catalogue = Catalogue(spark, str(tmp_path / "c"))
     before = load(spark, catalogue, [google("g1", "The Key", ISBN), google("g2", "A Key"), google("g3", "Alone")], 1)
