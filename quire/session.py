@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,10 +51,32 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def _has_void(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_void(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_void(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_void(kind.keyType) or _has_void(kind.valueType)
+    return isinstance(kind, T.NullType)
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Materialise ``frame`` in the shared folder, so that it is computed once and outlives executors."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """Materialise ``frame`` in the shared folder, so that it is computed once and outlives executors.
+
+    It is written as a table: a checkpoint of the rows would compute its last stage twice, once to count and once to write,
+    takes several times the space, and is read whole where a table is read by column. What a table cannot hold (columns
+    without a type) is checkpointed. The table is deleted when the session's JVM ends.
+    """
+    spark = frame.sparkSession
+    folder = shared_folder(spark)
+    if not frame.columns or _has_void(frame.schema):
+        return frame.checkpoint(eager=True)
+    path = f"{folder}/quire-{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def check_columns(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
