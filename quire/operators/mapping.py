@@ -33,7 +33,7 @@ def _text(v: Column, path: str) -> Column:
 
 def _list(v: Column, path: str) -> Column:
     items = F.try_variant_get(v, path, "array<string>")
-    return F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), F.trim), lambda x: F.length(x) > 0)
+    return F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
 
 
 def _shape(v: Column, path: str) -> Column:

@@ -82,3 +82,65 @@ def resolve(candidates: DataFrame, answers: dict[str, DataFrame], key: str, hier
         attempts.append(F.struct(F.lit(source).alias("source"), F.when(done, "skipped").when(hit, "resolved").otherwise("no_match").alias("outcome")))
         done = done | hit
     return asked.select(*candidates.columns, resolved.alias("resolved_by"), F.array(*attempts).alias("attempts"))
+
+
+#: What an answer may be; each attempt ends in one of these or in ``skipped`` (fixed values).
+OUTCOMES = ("resolved", "partial", "no_match", "contract_failure", "unavailable")
+
+
+def resolve_candidates(candidates: DataFrame, answers: DataFrame, hierarchy: list[str], enrich: bool = False, retained: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(resolutions, attempts) of ``candidates`` (candidate_key, ...) by recorded ``answers`` (candidate_key, source, state).
+
+    A candidate's retained payload, if ``retained`` says that it is whole, answers first. Sources are then asked in order: the
+    first that resolves ends the search, and those after it are skipped; with ``enrich`` all are asked. A partial answer
+    fills gaps and does not end the search. Attempts: candidate_key, source, attempt_no, outcome, fallback_reason.
+    """
+    best = answers.groupBy("candidate_key").agg(*[
+        F.min(F.when(F.col("source") == s, F.array_position(F.array(*[F.lit(o) for o in OUTCOMES]), F.col("state")))).alias(f"__{i}") for i, s in enumerate(hierarchy)
+    ])
+    asked = candidates.withColumn("__kept", F.coalesce(retained if retained is not None else F.lit(False), F.lit(False))).join(best, "candidate_key", "left")
+    done, rows, by = F.col("__kept"), [F.struct(F.lit("retained").alias("source"), F.lit(0).alias("attempt_no"), F.lit("resolved").alias("outcome"), F.lit(None).cast("string").alias("fallback_reason"))], F.when(F.col("__kept"), "retained")
+    rows[0] = F.when(F.col("__kept"), rows[0])
+    for i, source in enumerate(hierarchy):
+        outcome = F.coalesce(F.try_element_at(F.array(*[F.lit(o) for o in OUTCOMES]), F.nullif(F.col(f"__{i}"), F.lit(0)).cast("int")), F.lit("no_match"))
+        held = F.lit(False) if enrich else done
+        shown = F.when(held, "skipped").otherwise(outcome)
+        reason = F.when(held, "already resolved").when(shown != "resolved", F.concat(F.lit(source + ": "), F.regexp_replace(shown, "_", " ")))
+        rows.append(F.struct(F.lit(source).alias("source"), F.lit(i + 1).alias("attempt_no"), shown.alias("outcome"), reason.alias("fallback_reason")))
+        by = F.coalesce(by, F.when(shown == "resolved", F.lit(source)))
+        done = done | (shown == "resolved")
+    partial = F.coalesce(*[F.when(F.col(f"__{i}") == 2, F.lit(s)) for i, s in enumerate(hierarchy)])
+    resolutions = asked.select("candidate_key", by.alias("resolved_by"), F.when(by.isNull(), partial).alias("filled_by"))
+    attempts = asked.select("candidate_key", F.explode(F.array_compact(F.array(*rows))).alias("a")).select("candidate_key", "a.*")
+    return resolutions, attempts
+
+
+def release_times(requests: DataFrame, by: list[str], at: str, order: str, spacing: float) -> DataFrame:
+    """``requests`` with ``released``: seconds at which each may go out so that two of a group are ``spacing`` apart.
+
+    Request i leaves at the latest of arrival j plus the spacing of those from j to i: a running maximum, no recursion.
+    """
+    w = Window.partitionBy(*by).orderBy(at, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = requests.withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy(at, order)))
+    ahead = F.max(F.col(at) - F.col("__i") * spacing).over(w)
+    return placed.withColumn("released", ahead + F.col("__i") * spacing).drop("__i")
+
+
+def cache_hits(lookups: DataFrame, key: list[str], at: str, order: str, seconds: float, empty: Column) -> DataFrame:
+    """``lookups`` with ``hit``: whether the same key was answered, not emptily, at most ``seconds`` before."""
+    w = Window.partitionBy(*key).orderBy(at, order).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(~empty, F.col(at))).over(w)
+    return lookups.withColumn("hit", F.coalesce(F.col(at) - last <= seconds, F.lit(False)))
+
+
+def ensure_accepted(enabled: bool, accepted: bool) -> None:
+    """Both switches, or nothing that anyone could observe happens."""
+    if not (enabled and accepted):
+        raise PermissionError("the source must be enabled and its terms accepted")
+
+
+def ranked_answers(scored: DataFrame, by: list[str], threshold: float, most: int = 3) -> DataFrame:
+    """The best answers per group: score at least ``threshold``, by score, then by their own order (``index``)."""
+    kept = scored.where(F.col("score") >= threshold)
+    w = Window.partitionBy(*by).orderBy(F.desc("score"), "index")
+    return kept.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)

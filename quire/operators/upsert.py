@@ -166,3 +166,16 @@ def reconcile_identities(routes: DataFrame, rounds: int = 40) -> DataFrame:
         if not root.where("moved").isEmpty():
             raise RuntimeError(f"components not settled after {rounds} rounds")
     return root.select(F.col("x").alias("book"), "root")
+
+
+def series_provenance(accounts: DataFrame, by: str, key: Column) -> tuple[DataFrame, DataFrame]:
+    """(series_sources, book_series_sources): which account names which series, under which id, and what it says about a
+    book's place in it; the position stays the text that the account gives."""
+    listed = accounts.select(by, "source", "source_id", F.posexplode("series").alias("at", "member"))
+    keyed = listed.withColumn("series_key", key).where("series_key is not null")
+    first = F.struct("source_id", "at")
+    names = keyed.groupBy("series_key", "source").agg(F.min_by("member.name", first).alias("name"), F.min("member.source_series_id").alias("source_series_id"))
+    places = keyed.groupBy(by, "series_key", "source", "source_id").agg(
+        F.min_by("member.position", F.when(F.col("member.position").isNotNull(), F.col("at"))).alias("position"), F.bool_or(F.coalesce("member.confirmed", F.lit(False))).alias("confirmed")
+    )
+    return names, places

@@ -206,11 +206,6 @@ def cover_upgrade(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "goodreads_autocomplete").select("bookid", "card_rank", "fetched_at", similarity.cover(F.col("imageurl")).alias("cover_url"))
 
 
-@query()
-def html_clean(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "goodreads_autocomplete").select("bookid", "card_rank", "fetched_at", text.html_text(F.col("description.html")).alias("description"))
-
-
 @query("""SELECT record_id, trim(regexp_extract(t, '(?is)^(.*)\\s+by\\s+(.*)$', 1)) AS title, trim(regexp_extract(t, '(?is)^(.*)\\s+by\\s+(.*)$', 2)) AS author FROM (
     SELECT record_id, title || ' by ' || authors[1].name AS t FROM raw_book WHERE len(authors) > 0 AND title IS NOT NULL AND authors[1].name IS NOT NULL)""")
 def split_by_author(spark: SparkSession, d: str) -> DataFrame:

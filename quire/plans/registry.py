@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import catalogue, training
+from quire.plans import catalogue, pipeline, training  # noqa: F401
 
 MODULES = [catalogue, training]
 FLAGSHIP = catalogue.ranked_merge

@@ -129,7 +129,7 @@ def export_payload(record: Column) -> Column:
     title = F.trim(F.try_variant_get(record, "$.title", "string"))
     one = F.try_variant_get(record, "$.author", "string")
     names = F.coalesce(F.try_variant_get(record, "$.author", "array<string>"), F.array_compact(F.array(one)))
-    authors = F.array_distinct(F.filter(F.transform(names, F.trim), lambda a: F.length(a) > 0))
+    authors = F.array_distinct(F.filter(F.transform(names, lambda x: F.trim(x)), lambda a: F.length(a) > 0))
     made = F.to_json(F.struct(
         ident.alias("bookId"), title.alias("title"), F.when(F.size(authors) > 0, F.struct(authors[0].alias("name"))).alias("author"), F.when(F.size(authors) > 0, authors).alias("authors"),
         F.try_variant_get(record, "$.rating", "string").alias("avgRating"), F.try_variant_get(record, "$.ratingCount", "bigint").alias("ratingsCount"),
