@@ -58,33 +58,45 @@ def sequence_identifier(identifier: Column) -> Column:
 def seen_ranges(numbers: DataFrame, producer: str = "producer", number: str = "number") -> DataFrame:
     """Disjoint, maximal ranges of the numbers seen per producer: producer, first, last.
 
-    Numbers are made unique first, ranges are formed within blocks of ``RANGE_BLOCK`` numbers, and only the ranges that
-    touch a block's edge are merged across blocks, so the longest sequence is spread over many tasks.
+    Numbers are made unique first and ranges are formed within blocks of ``RANGE_BLOCK`` numbers, so the longest sequence
+    is spread over many tasks; see ``_across`` for how they are joined.
     """
     n = F.col(number).cast("long")
     unique = numbers.select(F.col(producer).alias("producer"), n.alias("number")).where("producer is not null and number is not null").distinct()
-    block = F.floor(F.col("number") / RANGE_BLOCK)
     w = Window.partitionBy("producer", "block").orderBy("number")
     local = (
-        unique.withColumn("block", block)
+        unique.withColumn("block", F.floor(F.col("number") / RANGE_BLOCK))
         .withColumn("island", F.col("number") - F.row_number().over(w))
         .groupBy("producer", "block", "island")
         .agg(F.min("number").alias("first"), F.max("number").alias("last"))
     )
-    return merge_ranges(local.select("producer", "first", "last"))
+    return _across(local.select("producer", "block", "first", "last"))
 
 
-def merge_ranges(ranges: DataFrame) -> DataFrame:
-    """Union of ranges per producer as disjoint, maximal ranges; overlapping and adjacent ones become one."""
-    w = Window.partitionBy("producer").orderBy("first", "last")
+def _joined(ranges: DataFrame, by: list[str]) -> DataFrame:
+    """Overlapping and adjacent ranges of a group as one."""
+    w = Window.partitionBy(*by).orderBy("first", "last")
     reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opened = ranges.withColumn("opens", F.coalesce(F.col("first") > reach + 1, F.lit(True)).cast("int"))
-    return (
-        opened.withColumn("run", F.sum("opens").over(w))
-        .groupBy("producer", "run")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        .drop("run")
+    opened = ranges.withColumn("opens", F.coalesce(F.col("first") > reach + 1, F.lit(True)).cast("int")).withColumn("run", F.sum("opens").over(w))
+    return opened.groupBy(*by, "run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
+
+
+def _across(local: DataFrame) -> DataFrame:
+    """Ranges of blocks joined across them. Only ranges that touch a block's edge can go on in the next, at most two per
+    block, and only these meet in one task per producer; all others are whole already."""
+    low, high = F.col("block") * RANGE_BLOCK, (F.col("block") + 1) * RANGE_BLOCK - 1
+    edge = (F.col("first") <= low) | (F.col("last") >= high)
+    inner = local.where(~edge).select("producer", "first", "last")
+    return inner.unionByName(_joined(local.where(edge).select("producer", "first", "last"), ["producer"]))
+
+
+def merge_ranges(ranges: DataFrame) -> DataFrame:
+    """Union of ranges per producer as disjoint, maximal ranges, formed block by block."""
+    blocks = F.sequence(F.floor(F.col("first") / RANGE_BLOCK), F.floor(F.col("last") / RANGE_BLOCK))
+    cut = ranges.select("producer", "first", "last", F.explode(blocks).alias("block")).select(
+        "producer", "block", F.greatest("first", F.col("block") * RANGE_BLOCK).alias("first"), F.least("last", (F.col("block") + 1) * RANGE_BLOCK - 1).alias("last")
     )
+    return _across(_joined(cut, ["producer", "block"]))
 
 
 def accept_sequence(seen: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:

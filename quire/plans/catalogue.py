@@ -223,12 +223,20 @@ def split_by_author(spark: SparkSession, d: str) -> DataFrame:
     nullif(trim(CASE source WHEN 'googlebooks' THEN json_extract_string(raw_payload, '$.volumeInfo.publishedDate') WHEN 'goodreads' THEN json_extract_string(raw_payload, '$._edition.published')
       WHEN 'openlibrary' THEN json_extract_string(raw_payload, '$.publish_date') END), '') AS published,
     (CASE source WHEN 'googlebooks' THEN coalesce(json_array_length(raw_payload, '$.volumeInfo.categories'), 0)::INT WHEN 'openlibrary' THEN coalesce(json_array_length(raw_payload, '$.subject'), 0)::INT
-      WHEN 'gutendex' THEN coalesce(json_array_length(raw_payload, '$.subjects'), 0)::INT END) AS n_subjects
+      WHEN 'gutendex' THEN coalesce(json_array_length(raw_payload, '$.subjects'), 0)::INT END) AS n_subjects,
+    nullif(trim(CASE source WHEN 'googlebooks' THEN json_extract_string(raw_payload, '$.volumeInfo.publisher') WHEN 'goodreads' THEN json_extract_string(raw_payload, '$._edition.publisher')
+      WHEN 'openlibrary' THEN json_extract_string(raw_payload, '$.publisher[0]') END), '') AS publisher,
+    CASE source WHEN 'googlebooks' THEN list_filter([trim(x) for x in (raw_payload->>'$.volumeInfo.authors[*]')], lambda x: length(x) > 0) WHEN 'openlibrary' THEN list_filter([trim(x) for x in (raw_payload->>'$.author_name[*]')], lambda x: length(x) > 0)
+      WHEN 'gutendex' THEN list_filter([trim(x) for x in (raw_payload->>'$.authors[*].name')], lambda x: length(x) > 0) ELSE list_filter([trim(json_extract_string(raw_payload, '$.author.name'))], lambda x: length(x) > 0) END AS authors,
+    CASE source WHEN 'googlebooks' THEN coalesce(raw_payload->>'$.volumeInfo.industryIdentifiers[*].identifier', []) WHEN 'openlibrary' THEN coalesce(raw_payload->>'$.isbn[*]', []) ELSE [] END AS isbns,
+    CASE source WHEN 'googlebooks' THEN list_filter([trim(json_extract_string(raw_payload, '$.volumeInfo.language'))], lambda x: length(x) > 0) WHEN 'openlibrary' THEN coalesce(raw_payload->>'$.language[*]', [])
+      WHEN 'gutendex' THEN coalesce(raw_payload->>'$.languages[*]', []) ELSE [] END AS languages
     FROM book_sources""")
 def map_payloads(spark: SparkSession, d: str) -> DataFrame:
     mapped, _ = mapping.split(mapping.map_payloads(table(spark, d, "book_sources").select("source", "raw_payload")))
     return mapped.select(
-        "source", "raw.source_id", "raw.title", "raw.page_count", "raw.published", F.when(F.col("source") != "goodreads", F.size("raw.subjects")).alias("n_subjects")
+        "source", "raw.source_id", "raw.title", "raw.page_count", "raw.published", F.when(F.col("source") != "goodreads", F.size("raw.subjects")).alias("n_subjects"), "raw.publisher",
+        *[F.coalesce(c, F.array().cast("array<string>")).alias(n) for n, c in (("authors", F.col("raw.authors.name")), ("isbns", F.col("raw.isbns")), ("languages", F.col("raw.languages")))],
     )
 
 
@@ -461,9 +469,9 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SELECT book_id, list_sort(list(DISTINCT source)) AS sources, count(*) AS payloads FROM book_sources GROUP BY book_id")
+@query("SELECT book_id, list_sort(list(DISTINCT source)) AS sources, count(*) AS payloads, list_sort(list(payload_hash)) AS hashes FROM book_sources GROUP BY book_id")
 def payloads_per_book(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "book_sources").groupBy("book_id").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.count("*").alias("payloads"))
+    return table(spark, d, "book_sources").groupBy("book_id").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.count("*").alias("payloads"), F.array_sort(F.collect_list("payload_hash")).alias("hashes"))
 
 
 @query("""SELECT event_type AS source, max(ts) AS last_refusal, round(date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') / 60.0, 4) AS minutes_since,

@@ -40,6 +40,15 @@ def p5_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redelivery.seen_ranges(numbers.select(producer.alias("producer"), F.col("offset_no").alias("number")))
 
 
+def p5_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of the later half of the batches that no range seen in the earlier half covers, each accepted once."""
+    producer = F.concat_ws("/", F.col("topic"), F.col("partition_no").cast("string"))
+    sent = table(spark, sf_dir, "book_messages").where("topic is not null and partition_no is not null and offset_no is not null and batch_id is not null")
+    numbered = sent.select(producer.alias("producer"), F.col("offset_no").alias("number"), "delivery_id", (F.col("batch_id") % 2 == 0).alias("early"))
+    accepted, _ = redelivery.accept_sequence(redelivery.seen_ranges(numbered.where("early")), numbered.where("not early"))
+    return accepted.select("producer", "number", "delivery_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_table": p1_table,
@@ -47,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": p5_found,
     "p5_kept": p5_kept,
     "p5_ranges": p5_ranges,
+    "p5_accepted": p5_accepted,
 }
 
 _UUID = r"""(
@@ -56,6 +66,18 @@ _UUID = r"""(
 _VALID = "k IS NOT NULL AND regexp_full_match(k, '[0-9a-f]{32}')"
 
 SQL: dict[str, str] = {
+    "p1_lifespans": """WITH facts AS (SELECT feed, file_seq, file_id, k AS field, json_extract(doc, '$."' || k || '"') AS v FROM (
+        SELECT feed, file_seq, file_id, doc, unnest(json_keys(doc)) AS k FROM openlibrary_search_raw WHERE json_valid(doc) AND json_type(doc) = 'OBJECT')),
+      typed AS (SELECT feed, file_seq, file_id, field, CASE json_type(v) WHEN 'VARCHAR' THEN CASE WHEN v::VARCHAR <> '""' THEN 'string' END WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object'
+        WHEN 'UBIGINT' THEN 'number' WHEN 'BIGINT' THEN 'number' WHEN 'DOUBLE' THEN 'number' WHEN 'ARRAY' THEN CASE json_type(v, '$[0]') WHEN 'VARCHAR' THEN 'array of strings' WHEN 'OBJECT' THEN 'array of objects'
+          WHEN 'UBIGINT' THEN 'array of numbers' WHEN 'BIGINT' THEN 'array of numbers' WHEN 'DOUBLE' THEN 'array of numbers' END END AS type FROM facts),
+      held AS (SELECT feed, field, file_seq, file_id, arg_min(type, (-n, type)) FILTER (WHERE type IS NOT NULL) AS type FROM (SELECT feed, file_seq, file_id, field, type, count(*) AS n FROM typed GROUP BY ALL) GROUP BY ALL),
+      begun AS (SELECT *, CASE WHEN lag(file_seq) OVER w = file_seq - 1 AND lag(type) OVER w IS NOT DISTINCT FROM type THEN 0 ELSE 1 END AS b FROM held WINDOW w AS (PARTITION BY feed, field ORDER BY file_seq, file_id))
+      SELECT feed, field, min(file_seq) AS first_seq, max(file_seq) AS last_seq, coalesce(any_value(type), '') AS type FROM (
+        SELECT *, sum(b) OVER (PARTITION BY feed, field ORDER BY file_seq, file_id) AS run FROM begun) GROUP BY feed, field, run""",
+    "p5_accepted": """SELECT topic || '/' || partition_no AS producer, offset_no AS number, min(delivery_id) AS delivery_id FROM book_messages m
+      WHERE topic IS NOT NULL AND partition_no IS NOT NULL AND offset_no IS NOT NULL AND batch_id % 2 <> 0
+        AND NOT EXISTS (SELECT 1 FROM book_messages e WHERE e.topic = m.topic AND e.partition_no = m.partition_no AND e.offset_no = m.offset_no AND e.batch_id % 2 = 0) GROUP BY 1, 2""",
     "p5_found": f"""SELECT delivery_id FROM (
       SELECT delivery_id, row_number() OVER (PARTITION BY k ORDER BY emitted_at NULLS LAST, delivery_id) AS n
       FROM {_UUID} WHERE {_VALID}) WHERE n > 1""",
