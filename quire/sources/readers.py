@@ -49,6 +49,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return marked.select((before + F.col("at") + 1).cast("long").alias("line"), "value")
 
 
+def slice_dump(spark: SparkSession, path: str, lines: int, target: str) -> None:
+    """The first ``lines`` lines of a dump as one gzip text file in the folder ``target``, which must not exist."""
+    part = numbered_lines(spark, path).where(F.col("line") <= lines)
+    part.orderBy("line").select("value").coalesce(1).write.option("compression", "gzip").text(target)
+
+
 def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     """line, doc: rows of five tab-separated columns whose type is an edition's; malformed rows cost only themselves.
 

@@ -99,3 +99,16 @@ def test_stream_equals_batch_through_both_consumers(spark, tmp_path):
     assert streamed.version() == 1
     for name in ("books", "book_authors", "authors"):
         assert sorted(map(str, streamed.tables()[name].collect())) == sorted(map(str, whole.tables()[name].collect()))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quire.__main__ import main
+
+    assert main(["queries"]) == 0 and "ranked_merge" in capsys.readouterr().out and main(["run", "nothing", "x", "y"]) == 2
+    assert main(["run", "rows_per_source", "/root/testdata/sf0.001", str(tmp_path / "out")], spark) == 0 and spark.read.parquet(str(tmp_path / "out")).count() == 4
+    seen = spark.createDataFrame([("googlebooks", json.dumps(volume(1, "The Key", ISBN)), datetime(2025, 1, 1))], "source string, raw_payload string, source_updated timestamp")
+    seen.write.parquet(str(tmp_path / "seen"))
+    assert main(["load", str(tmp_path / "cat"), str(tmp_path / "seen")], spark) == 0 and Catalogue(spark, str(tmp_path / "cat")).tables()["books"].count() == 1
+    (tmp_path / "dump.txt").write_text("\n".join(f"line {i}" for i in range(50)))
+    assert main(["slice", str(tmp_path / "dump.txt"), "7", str(tmp_path / "part")], spark) == 0
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "part")).collect()] == [f"line {i}" for i in range(7)]
