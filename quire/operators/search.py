@@ -40,17 +40,25 @@ def trigrams(column: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(padded, of)))
 
 
-def trigram_similarity(a: Column, b: Column) -> Column:
-    """Shared trigrams over all trigrams of two texts."""
-    x, y = trigrams(a), trigrams(b)
-    union = F.size(F.array_union(x, y))
-    return F.when(union > 0, F.size(F.array_intersect(x, y)) / union).otherwise(0.0)
-
-
-def trigram_lookup(books: DataFrame, identifier: str, column: str, query: str, floor: float) -> DataFrame:
-    """identifier, similarity of the rows at least ``floor`` like the query."""
-    near = trigram_similarity(F.col(column), F.lit(query))
-    return books.select(identifier, near.alias("similarity")).where(F.col("similarity") >= floor)
+def trigram_table(books: DataFrame, identifier: str, column: str) -> DataFrame:
+    """gram, identifier, n: an inverted index of the trigrams of each text, of which it has ``n``.
+
+    Rows are ranged by gram: written as a table, each file holds few grams, and a lookup reads only those of its query.
+    """
+    listed = books.select(identifier, trigrams(F.col(column)).alias("grams")).where(F.size("grams") > 0)
+    rows = listed.select(F.explode("grams").alias("gram"), identifier, F.size("grams").alias("n"))
+    return rows.repartitionByRange("gram", identifier).sortWithinPartitions("gram")
+
+
+def trigram_lookup(table: DataFrame, identifier: str, query: str, floor: float) -> DataFrame:
+    """identifier, similarity (shared trigrams over all of both) of the texts of a ``trigram_table`` at least ``floor``, which
+    is above 0, like the query. A query without letters finds nothing."""
+    if floor <= 0:
+        raise ValueError("a floor above 0")
+    asked = table.sparkSession.range(1).select(trigrams(F.lit(query)).alias("g")).first()["g"]
+    met = table.where(F.col("gram").isin(asked)).groupBy(identifier).agg(F.count("*").alias("shared"), F.max("n").alias("n"))
+    near = F.col("shared") / (F.col("n") + len(asked) - F.col("shared"))
+    return met.select(identifier, near.alias("similarity")).where(F.col("similarity") >= floor)
 
 
 def keyset_page(books: DataFrame, column: str, identifier: str, after: tuple[str, int] | None, size: int) -> DataFrame:

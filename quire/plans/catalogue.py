@@ -602,7 +602,8 @@ _GRAM = "list_distinct(flatten([[substr('  ' || w || ' ', i::INT, 3) for i in ra
 @query(f"""SELECT record_id, len(list_intersect(g, q)) / len(list_distinct(list_concat(g, q))) AS similarity FROM (
     SELECT record_id, {_GRAM.format('title')} AS g, {_GRAM.format("'the amber railway'")} AS q FROM raw_book WHERE title IS NOT NULL) WHERE len(list_intersect(g, q)) / len(list_distinct(list_concat(g, q))) >= 0.3""")
 def trigram_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return search.trigram_lookup(_raw(spark, d).where("title is not null"), "record_id", "title", "the amber railway", 0.3)
+    index = search.trigram_table(_raw(spark, d), "record_id", "title")
+    return search.trigram_lookup(index, "record_id", "the amber railway", 0.3)
 
 
 @query("""SELECT 'gutendex:' || id AS candidate_key, trim(title) AS title, list_filter([trim(a.name) for a in authors], lambda n: length(n) > 0)[1:5] AS authors, coalesce(languages, [])[1:3] AS languages

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import contested, mapping, merge, policy, upsert
+from quire.operators import contested, mapping, merge, policy, search, upsert
 from quire.sources import readers
 from quire.streaming import events
 
@@ -198,3 +198,12 @@ def test_stale_runs(spark):
     runs = spark.createDataFrame([(1, datetime(2025, 1, 1), "running"), (2, datetime(2025, 1, 1), "processing"), (3, datetime(2025, 1, 2), "running")], "id int, started_at timestamp_ntz, status string")
     got = policy.abandon_stale(runs, F.lit("2025-01-02 06:00:00").cast("timestamp_ntz")).orderBy("id").collect()
     assert [r["status"] for r in got] == ["failed", "processing", "running"]
+
+
+def test_trigram_index(spark):
+    books = spark.createDataFrame([(1, "Amber Railway"), (2, "amber railways"), (3, "Loom"), (4, None), (5, "???")], "i bigint, title string")
+    index = search.trigram_table(books, "i", "title")
+    got = {r["i"]: round(r["similarity"], 3) for r in search.trigram_lookup(index, "i", "Amber Railway", 0.3).collect()}
+    assert got[1] == 1.0 and 0.7 < got[2] < 1.0 and set(got) == {1, 2} and search.trigram_lookup(index, "i", "?!", 0.3).count() == 0
+    with pytest.raises(ValueError):
+        search.trigram_lookup(index, "i", "x", 0)
