@@ -65,13 +65,37 @@ _UUID = r"""(
   FROM book_messages)"""
 _VALID = "k IS NOT NULL AND regexp_full_match(k, '[0-9a-f]{32}')"
 
-SQL: dict[str, str] = {
-    "p1_lifespans": """WITH facts AS (SELECT feed, file_seq, file_id, k AS field, json_extract(doc, '$."' || k || '"') AS v FROM (
+# Fields of each file with their type, by the statement of the problem.
+_HELD = """facts AS (SELECT feed, file_seq, file_id, k AS field, json_extract(doc, '$."' || k || '"') AS v FROM (
         SELECT feed, file_seq, file_id, doc, unnest(json_keys(doc)) AS k FROM openlibrary_search_raw WHERE json_valid(doc) AND json_type(doc) = 'OBJECT')),
       typed AS (SELECT feed, file_seq, file_id, field, CASE json_type(v) WHEN 'VARCHAR' THEN CASE WHEN v::VARCHAR <> '""' THEN 'string' END WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object'
         WHEN 'UBIGINT' THEN 'number' WHEN 'BIGINT' THEN 'number' WHEN 'DOUBLE' THEN 'number' WHEN 'ARRAY' THEN CASE json_type(v, '$[0]') WHEN 'VARCHAR' THEN 'array of strings' WHEN 'OBJECT' THEN 'array of objects'
           WHEN 'UBIGINT' THEN 'array of numbers' WHEN 'BIGINT' THEN 'array of numbers' WHEN 'DOUBLE' THEN 'array of numbers' END END AS type FROM facts),
-      held AS (SELECT feed, field, file_seq, file_id, arg_min(type, (-n, type)) FILTER (WHERE type IS NOT NULL) AS type FROM (SELECT feed, file_seq, file_id, field, type, count(*) AS n FROM typed GROUP BY ALL) GROUP BY ALL),
+      held AS (SELECT feed, field, file_seq, file_id, arg_min(type, (-n, type)) FILTER (WHERE type IS NOT NULL) AS type FROM (SELECT feed, file_seq, file_id, field, type, count(*) AS n FROM typed GROUP BY ALL) GROUP BY ALL)"""
+
+SQL: dict[str, str] = {
+    "p1_found": f"""WITH {_HELD},
+      files AS (SELECT feed, file_seq, min(file_id) AS file_id FROM openlibrary_search_raw GROUP BY 1, 2),
+      compared AS (SELECT f.* FROM files f JOIN files e ON e.feed = f.feed AND e.file_seq = f.file_seq - 1),
+      now AS (SELECT c.feed, c.file_seq, c.file_id, h.field, h.type FROM compared c JOIN held h ON h.feed = c.feed AND h.file_seq = c.file_seq),
+      before AS (SELECT c.feed, c.file_seq, c.file_id, h.field, h.type FROM compared c JOIN held h ON h.feed = c.feed AND h.file_seq = c.file_seq - 1),
+      come AS (SELECT * FROM now ANTI JOIN before USING (feed, file_seq, field)), gone AS (SELECT * FROM before ANTI JOIN now USING (feed, file_seq, field)),
+      said AS (SELECT feed, file_seq, json_extract_string(doc, '$.key') AS doc_key, k AS field, json_extract(doc, '$."' || k || '"') AS v FROM (
+        SELECT feed, file_seq, doc, unnest(json_keys(doc)) AS k FROM openlibrary_search_raw WHERE json_valid(doc) AND json_type(doc) = 'OBJECT')),
+      parts AS (SELECT feed, file_seq, doc_key, field, CASE WHEN json_type(v) = 'ARRAY' THEN v::JSON[] ELSE [v] END AS items FROM said WHERE doc_key IS NOT NULL AND json_type(v) <> 'NULL'),
+      told AS (SELECT DISTINCT feed, file_seq, doc_key, field, lower(regexp_replace(list_aggregate([regexp_replace(coalesce(CASE WHEN json_type(x) = 'OBJECT'
+          THEN coalesce(x->>'value', x->>'name', x->>'key', x->>'title', x->>'label', x->>'id') ELSE x->>'$' END, ''), '^/[a-z_]+/', '') for x in items], 'string_agg', ''), '[^\\p{{L}}\\p{{M}}\\p{{N}}]', '', 'g')) AS content FROM parts),
+      full_of AS (SELECT feed, file_seq, doc_key, field, min(content) AS content FROM told WHERE content <> '' GROUP BY ALL),
+      met AS (SELECT g.feed, g.file_seq, g.file_id, g.field AS old_name, c.field AS new_name, g.type AS old_type, c.type AS new_type, count(*) AS n, count(*) FILTER (WHERE o.content = w.content) AS equal
+        FROM gone g JOIN come c ON c.feed = g.feed AND c.file_seq = g.file_seq JOIN full_of o ON o.feed = g.feed AND o.file_seq = g.file_seq - 1 AND o.field = g.field
+        JOIN full_of w ON w.feed = g.feed AND w.file_seq = g.file_seq AND w.field = c.field AND w.doc_key = o.doc_key GROUP BY ALL),
+      moved AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed, file_seq, old_name ORDER BY equal DESC, new_name) AS a, row_number() OVER (PARTITION BY feed, file_seq, new_name ORDER BY equal DESC, old_name) AS b
+        FROM met WHERE n = equal) WHERE a = 1 AND b = 1)
+      SELECT file_id, 'renamed' AS change_kind, old_name, new_name FROM moved UNION ALL SELECT file_id, 'retyped', old_name, new_name FROM moved WHERE old_type <> new_type
+      UNION ALL SELECT file_id, 'added', '', field FROM come c WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.feed = c.feed AND m.file_seq = c.file_seq AND m.new_name = c.field)
+      UNION ALL SELECT file_id, 'removed', field, '' FROM gone g WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.feed = g.feed AND m.file_seq = g.file_seq AND m.old_name = g.field)
+      UNION ALL SELECT n.file_id, 'retyped', n.field, n.field FROM now n JOIN before b USING (feed, file_seq, field) WHERE n.type <> b.type""",
+    "p1_lifespans": f"""WITH {_HELD},
       begun AS (SELECT *, CASE WHEN lag(file_seq) OVER w = file_seq - 1 AND lag(type) OVER w IS NOT DISTINCT FROM type THEN 0 ELSE 1 END AS b FROM held WINDOW w AS (PARTITION BY feed, field ORDER BY file_seq, file_id))
       SELECT feed, field, min(file_seq) AS first_seq, max(file_seq) AS last_seq, coalesce(any_value(type), '') AS type FROM (
         SELECT *, sum(b) OVER (PARTITION BY feed, field ORDER BY file_seq, file_id) AS run FROM begun) GROUP BY feed, field, run""",
